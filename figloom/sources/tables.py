@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from figloom.session import prepare
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def setting(spark: SparkSession, folder: str, name: str, default: int | None = None) -> int:
