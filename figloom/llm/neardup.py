@@ -12,29 +12,31 @@ Jaccard distance is a metric, so a pivot p orders the space: d(x, y) <= r implie
    there as a boundary member: the triangle inequality shows that nothing else can reach
    into the cell. Every close pair meets in exactly one cell.
 3. Inside a cell, distances this small force common rare shingles: ordered by rarity, the first
-   |x| - ceil(t|x|) + 1 of the larger text and the first |x| - ceil(2t/(1+t)|x|) + 1 of the smaller
-   must meet. Cells are joined on (cell, shingle), with the bounds on size, place, and distance
-   to the pivot in the join condition, then a bound from parity signatures, and last the exact
-   similarity of the texts. Each bound is necessary, so no pair is lost, whatever the sample.
+   |y| - ceil(t|y|) + m of the larger text and the first |x| - ceil(2t/(1+t)|x|) + m of the smaller
+   have at least m = ``MEETINGS`` in common (or all that a small pair must share). Cells are joined on (cell, shingle), with the bounds on
+   size, place, and distance to the pivot in the join condition; pairs are counted, bounded by
+   their parity signatures, and last by the exact similarity of the texts. Each bound is
+   necessary, so no pair is lost, whatever the sample.
 
 The counts only order the shingles: collisions in the table cost time and never a pair.
 """
 
 from __future__ import annotations
 
-import math
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from figloom.llm import shingles as S
 from figloom.shared import written
 
 THRESHOLD = 0.6
 RADIUS = 0.3
+#: Rare shingles that a pair must have in common: more of them cost a little more join and spare many candidates.
+MEETINGS = 3
 #: Cells of the rarity table, 2**RARITY_BITS bytes when merged; its bound is independent of the data.
 RARITY_BITS = 24
 RARITY_BLOCKS = 64
@@ -44,8 +46,10 @@ SAMPLE_WORDS = 5000
 PIVOTS = 24
 #: Keys up to this number are broadcast (at most 32 MB), more are joined by shuffle.
 BROADCAST_KEYS = 400_000
-OUTER = 1 << 30
-SCAN = ["space", "key", "tid", "cls", "n_words", "block", "cells"]
+OUTER = 1 << 24
+#: A cell's number is the pivot's times this plus the space.
+SPACES = 16
+SCAN = ["space", "key", "tid", "cls", "n_words", "size", "sig", "block", "cells"]
 
 
 def by_keys(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
@@ -57,15 +61,17 @@ def _int64(a: np.ndarray) -> pa.Array:
     return pa.array(a.view(np.int64))
 
 
-def scan(rows: DataFrame, bits: int = RARITY_BITS) -> DataFrame:
+def scan(rows: DataFrame, bits: int | None = RARITY_BITS) -> DataFrame:
     """The first pass over ``rows`` (space int, key string, text string).
 
-    Member rows: space, key, tid (the text's hash), cls, n_words, of texts with at least 30 words. Rarity rows: block,
-    cells (the task's counts of one block of the table, each class of the task counted once, packed).
+    Member rows: space, key, tid (the text's hash), cls, n_words, of texts with at least 30 words, and
+    on the class's first row in the task its size and signature. Rarity rows: block,
+    cells (the task's counts of one block of the table, each class of the task counted once, packed);
+    none without ``bits``.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, seen = np.zeros(1 << bits, np.uint16), set()
+        cells, seen = np.zeros(1 << (bits or 0), np.uint32), set()
         for b in batches:
             space, texts = b.column(0).to_numpy(zero_copy_only=False).astype(np.int32), b.column(3).to_pylist()
             for at, part in S.chunks(texts):
@@ -76,21 +82,26 @@ def scan(rows: DataFrame, bits: int = RARITY_BITS) -> DataFrame:
                     if (c := int(cls[i])) not in seen:
                         seen.add(c)
                         fresh[i] = True
-                doc, h = doc[fresh[doc]], h[fresh[doc]]
-                where, n = np.unique(h & np.uint64((1 << bits) - 1), return_counts=True)
-                cells[where.astype(np.int64)] = np.minimum(cells[where.astype(np.int64)] + n, 65535)
+                keep = fresh[doc]
+                doc, h, _ = S.ordered(doc[keep], h[keep], np.zeros(int(keep.sum()), np.uint8))
+                if bits:
+                    np.add.at(cells, (h & np.uint64((1 << bits) - 1)).astype(np.int64), 1)
                 kept = np.flatnonzero(n_words >= S.LEAST_WORDS)
+                size = np.bincount(doc, minlength=len(part))[kept].astype(np.int32)
+                sig = S.signatures(doc, h, len(part))[kept][fresh[kept]].view(np.int64).reshape(-1)
+                ends = np.cumsum([0, *np.where(fresh[kept], S.SIGNATURE_LANES, 0)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends, mask=np.append(~fresh[kept], False)), pa.array(sig))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(space[at + kept]), *(b.column(c).take(pa.array(at + kept)) for c in (1, 2)), _int64(cls[kept]), pa.array(n_words[kept].astype(np.int32)), pa.nulls(len(kept), pa.int32()), pa.nulls(len(kept), pa.binary())],
+                    [pa.array(space[at + kept]), *(b.column(c).take(pa.array(at + kept)) for c in (1, 2)), _int64(cls[kept]), pa.array(n_words[kept].astype(np.int32)), pa.array(size, mask=~fresh[kept]), lists, pa.nulls(len(kept), pa.int32()), pa.nulls(len(kept), pa.binary())],
                     names=SCAN,
                 )
-        if seen:
+        if seen and bits:
             for k, block in enumerate(np.split(cells, RARITY_BLOCKS)):
                 if block.any():
-                    packed = zlib.compress(block.tobytes(), 1)
-                    yield pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int32())), pa.array([k], pa.int32()), pa.array([packed], pa.binary())], names=SCAN)
+                    packed = zlib.compress(np.minimum(block, 65535).astype(np.uint16).tobytes(), 1)
+                    yield pa.RecordBatch.from_arrays([*(pa.nulls(1, kind) for kind in (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))), pa.array([k], pa.int32()), pa.array([packed], pa.binary())], names=SCAN)
 
-    return rows.select("space", "key", F.xxhash64("text"), "text").mapInArrow(run, "space int, key string, tid long, cls long, n_words int, block int, cells binary")
+    return rows.select("space", "key", F.xxhash64("text"), "text").mapInArrow(run, "space int, key string, tid long, cls long, n_words int, size int, sig array<long>, block int, cells binary")
 
 
 def rarity(scanned: DataFrame, bits: int = RARITY_BITS) -> np.ndarray:
@@ -161,14 +172,14 @@ def pick_pivots(texts: list[str], most: int = PIVOTS) -> list[np.ndarray]:
 def cell_entries(rows: DataFrame, rank, pivots, t: float = THRESHOLD, bits: int = RARITY_BITS) -> DataFrame:
     """The second pass. ``rank``, ``pivots`` (by space): broadcast variables.
 
-    Entries, of each class's shingles that must meet: space, cell, home (whether the cell is its
+    Entries, of each class's shingles that may meet: cell (with the space), home (whether the cell is its
     own), h, cls, size, place, to_pivot (distance), in_index (the smaller text's part of the
-    prefix). Signature rows: cls, size, sig. A class is emitted once per task.
+    prefix). A class is emitted once per task.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = np.frombuffer(rank.value, np.uint8), set()
-        names = ["space", "cell", "home", "h", "cls", "size", "place", "to_pivot", "in_index", "sig"]
+        names = ["cell", "h", "cls", "home", "size", "place", "to_pivot", "in_index"]
         for b in batches:
             spaces, texts = b.column(0).to_numpy(zero_copy_only=False).astype(np.int32), b.column(1).to_pylist()
             for at, part in S.chunks(texts):
@@ -188,8 +199,8 @@ def cell_entries(rows: DataFrame, rank, pivots, t: float = THRESHOLD, bits: int
                 size = np.bincount(doc, minlength=len(part))
                 first = np.cumsum(size) - size
                 place = np.arange(len(doc)) - first[doc]
-                probe = size - np.ceil(t * size - 1e-9).astype(np.int64) + 1
-                index = size - np.ceil(2 * t / (1 + t) * size - 1e-9).astype(np.int64) + 1
+                probe = size - np.ceil(t * size - 1e-9).astype(np.int64) + MEETINGS
+                index = size - np.ceil(2 * t / (1 + t) * size - 1e-9).astype(np.int64) + MEETINGS
                 emit = np.flatnonzero((place < probe[doc]) & (r > 1))
                 cells: list[tuple[np.ndarray, ...]] = []  # (entry, cell, home, distance)
                 own = np.full(len(part), OUTER, np.int64)
@@ -214,41 +225,47 @@ def cell_entries(rows: DataFrame, rank, pivots, t: float = THRESHOLD, bits: int
                 if len(e):
                     d = doc[e]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(space[d]), pa.array(cell.astype(np.int32)), pa.array(home), _int64(h[e]), _int64(cls[d]), pa.array(size[d].astype(np.int32)), pa.array(place[e].astype(np.int32)), pa.array(far.astype(np.float32)), pa.array(place[e] < index[d]), pa.nulls(len(e), pa.list_(pa.int64()))],
+                        [pa.array((cell * SPACES + space[d]).astype(np.int32)), _int64(h[e]), _int64(cls[d]), pa.array(home), pa.array(size[d].astype(np.int32)), pa.array(place[e].astype(np.int32)), pa.array(far.astype(np.float32)), pa.array(place[e] < index[d])],
                         names=names,
                     )
-                held = np.unique(doc[emit])
-                if len(held):
-                    sig = S.signatures(doc, h, len(part))[held].view(np.int64)
-                    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, sig.size + 1, S.SIGNATURE_LANES, dtype=np.int32)), pa.array(sig.reshape(-1)))
-                    nothing = [pa.nulls(len(held), x) for x in (pa.int32(), pa.bool_(), pa.int64())]
-                    yield pa.RecordBatch.from_arrays([pa.array(space[held]), *nothing, _int64(cls[held]), pa.array(size[held].astype(np.int32)), pa.nulls(len(held), pa.int32()), pa.nulls(len(held), pa.float32()), pa.nulls(len(held), pa.bool_()), lists], names=names)
 
-    return rows.select("space", "text").mapInArrow(run, "space int, cell int, home boolean, h long, cls long, size int, place int, to_pivot float, in_index boolean, sig array<long>")
+    return rows.select("space", "text").mapInArrow(run, "cell int, h long, cls long, home boolean, size int, place int, to_pivot float, in_index boolean")
+
 
+def candidates(entries: DataFrame, t: float = THRESHOLD, also: Callable[[dict, dict], Column] | None = None) -> DataFrame:
+    """x, y (x the smaller text) of the class pairs that pass the bounds inside a cell.
 
-def candidates(entries: DataFrame, t: float = THRESHOLD) -> DataFrame:
-    """space, x, y (x the smaller text) of the class pairs that pass the bounds inside a cell."""
-    once = entries.where("h IS NOT NULL").drop("sig").repartition("space", "cell", "h").dropDuplicates(["space", "cell", "h", "cls"])
+    Both sides read one exchange. A match at places (i, j) leaves at most min(|x|-i, |y|-j) common
+    shingles from there on, and a pair's matches in the prefixes come before all its others.
+    ``also``: a further condition on the two sides, given as column lookups.
+    """
+    once = entries.repartition("cell", "h").dropDuplicates(["cell", "h", "cls"])
     x, y = once.where("in_index").alias("x"), once.alias("y")
-    need = F.ceil(F.lit(t / (1 + t)) * (F.col("x.size") + F.col("y.size")) - 1e-9)
-    room = 1 + F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place")) - 1
+
+    def need(nx, ny):
+        return F.ceil(F.lit(t / (1 + t)) * (nx + ny) - 1e-9)
+
+    room = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
     close = (
-        (F.col("x.space") == F.col("y.space")) & (F.col("x.cell") == F.col("y.cell")) & (F.col("x.h") == F.col("y.h"))
+        (F.col("x.cell") == F.col("y.cell")) & (F.col("x.h") == F.col("y.h"))
         & ((F.col("x.size") < F.col("y.size")) | ((F.col("x.size") == F.col("y.size")) & (F.col("x.cls") < F.col("y.cls"))))
-        & (F.col("x.size") >= F.lit(t) * F.col("y.size") - 1e-9) & (room >= need)
+        & (F.col("x.size") >= F.lit(t) * F.col("y.size") - 1e-9) & (room >= need(F.col("x.size"), F.col("y.size")) - (MEETINGS - 1))
         & (F.col("x.home") | F.col("y.home")) & (F.abs(F.col("x.to_pivot") - F.col("y.to_pivot")) <= 1 - t + 1e-5)
     )
-    return x.join(y, close).select("x.space", F.col("x.cls").alias("x"), F.col("y.cls").alias("y")).distinct()
+    if also is not None:
+        close = close & also(*({c: F.col(f"{side}.{c}") for c in entries.columns} for side in "xy"))
+    met = x.join(y, close).select(F.col("x.cls").alias("x"), F.col("y.cls").alias("y"), room.alias("room"), need(F.col("x.size"), F.col("y.size")).cast("int").alias("need"))
+    counted = met.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"), F.min("room").alias("room"), F.first("need").alias("need"))
+    return counted.where((F.col("n") >= F.least(F.lit(MEETINGS), F.col("need"))) & (F.col("n") - 1 + F.col("room") >= F.col("need"))).select("x", "y")
 
 
-def by_signature(pairs: DataFrame, entries: DataFrame, t: float = THRESHOLD) -> DataFrame:
+def by_signature(pairs: DataFrame, members: DataFrame, t: float = THRESHOLD) -> DataFrame:
     """The pairs whose overlap can still reach the threshold by their parity signatures."""
-    sigs = entries.where("sig IS NOT NULL").select("cls", "size", "sig").dropDuplicates(["cls"])
+    sigs = members.where("sig IS NOT NULL").select("cls", "size", "sig").dropDuplicates(["cls"])
     a, b = (sigs.select(F.col("cls").alias(c), F.col("size").alias(f"n{c}"), F.col("sig").alias(f"s{c}")) for c in "xy")
     met = pairs.join(a, "x").join(b, "y")
     differ = sum((F.bit_count(F.col("sx")[k].bitwiseXOR(F.col("sy")[k])) for k in range(S.SIGNATURE_LANES)), F.lit(0))
-    return met.where((F.col("nx") + F.col("ny") - differ) / 2 >= F.lit(t / (1 + t)) * (F.col("nx") + F.col("ny")) - 1e-9).select("space", "x", "y")
+    return met.where((F.col("nx") + F.col("ny") - differ) / 2 >= F.lit(t / (1 + t)) * (F.col("nx") + F.col("ny")) - 1e-9).select("x", "y")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, t: float = THRESHOLD) -> DataFrame:
@@ -264,6 +281,13 @@ def verified(pairs: DataFrame, texts: DataFrame, t: float = THRESHOLD) -> DataFr
     return pairs.join(x, "x").join(y, "y").select("x", "y", "tx", "ty").mapInArrow(run, "x long, y long, similarity double")
 
 
+def texts_of(pairs: DataFrame, members: DataFrame, rows: DataFrame) -> DataFrame:
+    """cls, text of every class that ``pairs`` (x, y) names: the text of its first member."""
+    needed = pairs.select(F.col("x").alias("cls")).unionAll(pairs.select("y")).distinct()
+    picks = written(members.join(needed, "cls", "left_semi").groupBy("space", "cls").agg(F.min(F.struct("key", "tid")).alias("k")).select("space", "cls", "k.key", "k.tid"), "picks")
+    return by_keys(rows.withColumn("tid", F.xxhash64("text")), picks, ["space", "key", "tid"]).groupBy("cls").agg(F.first("text", ignorenulls=True).alias("text"))
+
+
 def near_duplicates(rows: DataFrame, t: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(members, links) of ``rows`` (space int, key string, text string); only rows of one space are compared.
 
@@ -282,9 +306,5 @@ def near_duplicates(rows: DataFrame, t: float = THRESHOLD) -> tuple[DataFrame, D
         sample = [r.key for r in members.where((F.col("space") == s) & (F.col("n_words") <= SAMPLE_WORDS)).orderBy("cls", "key").select("key").limit(SAMPLE).collect()]
         sets[s] = pick_pivots([r.text for r in rows.where(F.col("space") == s).where(F.col("key").isin(sample)).orderBy("key").limit(SAMPLE).select("text").collect()])
     pivots = spark.sparkContext.broadcast(sets)
-    entries = written(cell_entries(rows, rank, pivots, t), "entries")
-    pairs = written(by_signature(candidates(entries, t), entries, t), "pairs")
-    needed = pairs.select(F.col("x").alias("cls")).unionAll(pairs.select("y")).distinct()
-    picks = written(members.join(needed, "cls", "left_semi").groupBy("space", "cls").agg(F.min(F.struct("key", "tid")).alias("k")).select("space", "cls", "k.key", "k.tid"), "picks")
-    texts = by_keys(rows.withColumn("tid", F.xxhash64("text")), picks, ["space", "key", "tid"]).groupBy("cls").agg(F.first("text", ignorenulls=True).alias("text"))
-    return members, written(verified(pairs, texts, t), "links")
+    pairs = written(by_signature(candidates(cell_entries(rows, rank, pivots, t), t), scanned, t), "pairs")
+    return members, written(verified(pairs, texts_of(pairs, members, rows), t), "links")

@@ -15,8 +15,8 @@ SHINGLE_WORDS = 3
 LEAST_WORDS = 30
 #: Texts are hashed in groups of about so many bytes, which bounds the arrays.
 CHUNK_BYTES = 2_000_000
-#: Bits of a set's parity signature.
-SIGNATURE_LANES = 8
+#: 64-bit words of a set's parity signature.
+SIGNATURE_LANES = 16
 
 _IS_WORD = np.zeros(256, bool)
 _IS_WORD[[*range(ord("0"), ord("9") + 1), *range(ord("a"), ord("z") + 1)]] = True
