@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from figloom.llm import queries_items, queries_text
+from figloom.llm import forest, overlap, queries_items, queries_text
 
 
 def queries() -> dict:
-    return queries_text.QUERIES | queries_items.QUERIES
+    return forest.QUERIES | overlap.QUERIES | queries_text.QUERIES | queries_items.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
