@@ -41,7 +41,7 @@ MEETINGS = 3
 RARITY_BITS = 24
 RARITY_BLOCKS = 64
 #: Classes sampled for pivots (smallest class ids of each space), longest sampled text, most pivots of a space.
-SAMPLE = 384
+SAMPLE = 256
 SAMPLE_WORDS = 5000
 PIVOTS = 24
 #: Keys up to this number are broadcast (at most 32 MB), more are joined by shuffle.
@@ -126,17 +126,17 @@ def rarity(scanned: DataFrame, bits: int = RARITY_BITS) -> np.ndarray:
 
 
 def overlaps(sets: list[np.ndarray], doc: np.ndarray, h: np.ndarray, n_texts: int) -> np.ndarray:
-    """Common elements of each text (distinct shingles as doc, h) with each set."""
-    out = np.zeros((n_texts, len(sets)), np.int32)
+    """Common elements of each text (distinct shingles as doc, h) with each set; sets have at most SAMPLE_WORDS elements."""
+    out = np.zeros((n_texts, len(sets)), np.int16)
     if sets and len(h):
         known, place = np.unique(np.concatenate(sets), return_inverse=True)
-        has = np.zeros((len(known), len(sets)), np.int32)
+        has = np.zeros((len(known), len(sets)), np.int16)
         has[place, np.repeat(np.arange(len(sets)), [len(s) for s in sets])] = 1
         at = np.minimum(np.searchsorted(known, h), len(known) - 1)
         hit = np.flatnonzero(known[at] == h)
         if len(hit):
             first = np.flatnonzero(np.diff(doc[hit], prepend=-1))
-            out[doc[hit][first]] = np.add.reduceat(has[at[hit]], first, axis=0)
+            out[doc[hit][first]] = np.add.reduceat(has[at[hit]], first, axis=0, dtype=np.int16)
     return out
 
 
@@ -178,7 +178,7 @@ def cell_entries(rows: DataFrame, rank, pivots, t: float = THRESHOLD, bits: int
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen = np.frombuffer(rank.value, np.uint8), set()
+        table, seen = rank.value, set()
         names = ["cell", "h", "cls", "home", "size", "place", "to_pivot", "in_index"]
         for b in batches:
             spaces, texts = b.column(0).to_numpy(zero_copy_only=False).astype(np.int32), b.column(1).to_pylist()
@@ -250,6 +250,7 @@ def candidates(entries: DataFrame, t: float = THRESHOLD, also: Callable[[dict, d
         (F.col("x.cell") == F.col("y.cell")) & (F.col("x.h") == F.col("y.h"))
         & ((F.col("x.size") < F.col("y.size")) | ((F.col("x.size") == F.col("y.size")) & (F.col("x.cls") < F.col("y.cls"))))
         & (F.col("x.size") >= F.lit(t) * F.col("y.size") - 1e-9) & (room >= need(F.col("x.size"), F.col("y.size")) - (MEETINGS - 1))
+        & (F.col("y.in_index") | (F.col("y.place") >= 0))  # always true: both sides keep the same columns and so the same exchange
         & (F.col("x.home") | F.col("y.home")) & (F.abs(F.col("x.to_pivot") - F.col("y.to_pivot")) <= 1 - t + 1e-5)
     )
     if also is not None:
@@ -298,7 +299,7 @@ def near_duplicates(rows: DataFrame, t: float = THRESHOLD) -> tuple[DataFrame, D
     """
     spark = rows.sparkSession
     scanned = written(scan(rows), "scan")
-    rank = spark.sparkContext.broadcast(rarity(scanned).tobytes())
+    rank = spark.sparkContext.broadcast(rarity(scanned))
     members = scanned.where("cls IS NOT NULL").select("space", "key", "tid", "cls", "n_words")
     spaces = [r.space for r in members.select("space").distinct().collect()]  # a handful by definition
     sets = {}
