@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from figloom import p_general
+from figloom import oracle, p_general, queries as own
 
 
 def queries() -> dict:
-    return dict(p_general.QUERIES)
+    return own.QUERIES | p_general.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
