@@ -7,6 +7,7 @@ depends on rows other than its own.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Sequence
 
 import pandas as pd
@@ -22,10 +23,10 @@ _FIGURE = re.compile(V.FIGURE, re.I)
 _NUMBER = re.compile(r"^0*([0-9]{1,4})([A-Z]{0,2})(?:-0*([0-9]{1,4})([A-Z]{0,2}))?$")
 
 
-def _relation(label: str, before: str, stem: str, endings: str, after: str) -> tuple[str, re.Pattern]:
+def _relation(label: str, before: str, stem: str, endings: str, after: str) -> tuple[str, str, re.Pattern]:
     rx = stem + (f"(?:{endings})?" if endings else "")
     rx = (rf"{before}\s+" if before else "") + rx + (rf"\s+(?:{after})" if after else "")
-    return label, re.compile(rf"\b{rx}\b", re.I)
+    return label, stem, re.compile(rf"\b{rx}\b", re.I)
 
 
 _RELATIONS = [_relation(*r) for r in V.RELATIONS]
@@ -89,9 +90,12 @@ def relations(text: str | None, most: int = 4) -> list[str]:
     text = text or ""
     found: dict[str, str] = {}
     for sentence in filter(None, (s.strip() for s in _SENTENCES.split(text))):
-        tokens = list(_TOKEN.finditer(sentence))
-        for label, rx in _RELATIONS:
+        low, tokens = sentence.lower(), None
+        for label, stem, rx in _RELATIONS:
+            if stem not in low:
+                continue
             for m in rx.finditer(sentence):
+                tokens = tokens or list(_TOKEN.finditer(sentence))
                 before = sum(1 for t in tokens if t.end() <= m.start())
                 after = next((i for i, t in enumerate(tokens) if t.start() >= m.end()), len(tokens))
                 left, right = _side(tokens, sentence, before - 1, -1, m.start()), _side(tokens, sentence, after, 1, m.end())
@@ -189,6 +193,17 @@ def labels(text: str | None, fig_label: str | None = None, most: int = 100) -> l
     return list(out.values())[:most]
 
 
+_WORD = re.compile(r"[A-Za-z][A-Za-z\-]+")
+_STOPS, _STARTS = frozenset(V.KEYWORD_STOPS), tuple(V.KEYWORD_STARTS)
+
+
+def keywords(text: str | None, k: int = 14) -> list[str]:
+    """The k most frequent keywords, ties by first occurrence; the same as ``plans.pipeline.top_keywords`` row by row."""
+    words = (w.lower() for w in _WORD.findall(text or ""))
+    kept = Counter(w for w in words if len(w) > 2 and w not in _STOPS and not w.startswith(_STARTS) and not w.endswith("ing"))
+    return [w for w, _ in kept.most_common(k)]
+
+
 def figure_text(paragraphs: Sequence[str | None] | None, captions: Sequence[str | None] | None, number: str | None) -> str:
     """The paragraphs on one figure: from the first that refers to it to the next that refers to others only, two at least.
 
@@ -268,6 +283,10 @@ def _relations(text: pd.Series) -> pd.Series:
     return text.map(relations)
 
 
+def _keywords(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: ", ".join(keywords(t)))
+
+
 def _labels(text: pd.Series, label: pd.Series) -> pd.Series:
     return pd.Series([labels(t, f) for t, f in zip(text, label)], index=text.index, dtype=object)
 
@@ -286,6 +305,11 @@ def relation_phrases(text: Column) -> Column:
     return F.when(F.size(found) > 0, F.array_join(found, ", ")).otherwise(V.UNKNOWN)
 
 
+def keyword_phrase(text: Column) -> Column:
+    """``keywords`` joined by commas, of one row's text and without a shuffle."""
+    return F.pandas_udf(_keywords, "string")(text)
+
+
 def label_phrases(text: Column, label: Column) -> Column:
     """``labels`` joined by commas; ``if present`` if there are none."""
     found = F.pandas_udf(_labels, "array<string>")(text, label)

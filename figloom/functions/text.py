@@ -74,7 +74,7 @@ def is_keyword(word: Column) -> Column:
 
 def sentences(text: Column) -> Column:
     """Cut at whitespace after ``.``, ``;`` or ``:`` and at line breaks; blank ones dropped."""
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"(?<=[.;:])\s+|\n+"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"(?<=[.;:])\s+|\n+"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def figure_prefixes(label: Column, text: Column) -> Column:

@@ -115,8 +115,8 @@ def latest_writes(files: DataFrame, root: str = PROJECT_ROOT) -> DataFrame:
 def assign_bundles(winners: DataFrame, bundle_bytes: int) -> DataFrame:
     """Adds ``bundle_no`` per applicant: ``floor(bytes before / bundle_bytes)`` in order of ``file_id``.
 
-    That is ceil(applicant's bytes / bundle_bytes) bundles, the fewest that can be, each over the
-    target by less than its last file. Empty files count as one byte, so that a bundle's row count
+    That is at most ceil(applicant's bytes / bundle_bytes) bundles, each over the target by less than its
+    last file. Empty files count as one byte, so that a bundle's row count
     is bounded too. A NULL owner is an owner of its own.
     """
     sized = winners.withColumn("_size", F.greatest("n_bytes", F.lit(1)))

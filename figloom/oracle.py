@@ -77,7 +77,7 @@ FROM documents d LEFT JOIN t USING (doc_id)""",
     "canonical_fig": f"SELECT id, fig_label, {_label('fig_label')} AS fig_num FROM figures",
     "clean_ws": f"SELECT doc_id, {_CLEAN.format('text')} AS cleaned FROM documents",
     "plain_dashes": f"SELECT id, translate(fig_label, {_q(V.DASHES)}, '{'-' * len(V.DASHES)}') AS label FROM figures",
-    "fig_numbers": f"SELECT doc_id, section, array_to_string(list_sort({_NUMS.format('coalesce(content, ' + chr(39) * 2 + ')')}), ',') AS nums FROM (SELECT DISTINCT * FROM text_fts)",
+    "fig_numbers": f"SELECT doc_id, section, array_to_string(list_sort(list_distinct(flatten(list_transform(string_split(coalesce(content, ''), chr(10)), lambda t: {_NUMS.format('t')})))), ',') AS nums FROM (SELECT DISTINCT * FROM text_fts)",
     "diagram_class": f"SELECT doc_id, section, {_class('content')} AS diagram_class FROM text_fts",
     "class_counts": f"SELECT section, {_class('content')} AS diagram_class, count(*) AS n FROM text_fts GROUP BY 1, 2",
     "view_cue": f"SELECT doc_id, section, {_VIEW.format('content')} AS view FROM text_fts",

@@ -26,23 +26,16 @@ def top_keywords(df: DataFrame, key: str, text: str, k: int = KEYWORDS) -> DataF
     return counted.groupBy(key).agg(F.array_join(F.transform(F.slice(ranked, 1, k), lambda x: x.word), ", ").alias("keywords"))
 
 
-def keywords_of(text: Column, k: int = KEYWORDS) -> Column:
-    """The same within one row, without a shuffle: for texts of figures, whose words are few."""
-    words = F.filter(F.transform(X.words(text), F.lower), X.is_keyword)
-    ranked = F.array_sort(F.transform(F.array_distinct(words), lambda w: F.struct((-F.size(F.filter(words, lambda x: x == w))).alias("n"), F.array_position(words, w).alias("first"), w.alias("word"))))
-    return F.array_join(F.transform(F.slice(ranked, 1, k), lambda x: x.word), ", ")
-
-
 def with_prompt(rows: DataFrame, text: str = "fig_text", label: str = "fig_label", claims: str | None = "claims_subset") -> DataFrame:
     """Adds ``prompt``. Each Python function runs once per row; the others are native on the same cleaned text."""
     base = rows.withColumn("_t", X.clean(F.col(text)))
-    base = base.withColumn("_relations", P.relation_phrases(F.col("_t"))).withColumn("_labels", P.label_phrases(F.col("_t"), F.col(label)))
-    objects = F.coalesce(F.nullif(keywords_of(F.col("_t")), F.lit("")), F.lit("{unspecified}"))
+    base = base.withColumn("_relations", P.relation_phrases(F.col("_t"))).withColumn("_labels", P.label_phrases(F.col("_t"), F.col(label))).withColumn("_objects", P.keyword_phrase(F.col("_t")))
+    objects = F.coalesce(F.nullif(F.col("_objects"), F.lit("")), F.lit("{unspecified}"))
     fields = [X.figure_display(F.col(label)), X.diagram_class(F.col("_t")), X.view_cue(F.col("_t")), objects, F.col("_relations"), F.col("_labels")]
     parts = [x for t, f in zip(TEMPLATE, fields) for x in (F.lit(t), f)] + [F.lit(TEMPLATE[-1])]
     if claims:
         parts.append(F.when(F.length(claims) > 0, F.concat(F.lit(" Constraints: "), F.col(claims), F.lit("."))).otherwise(""))
-    return base.withColumn("prompt", F.concat(*parts)).drop("_t", "_relations", "_labels")
+    return base.withColumn("prompt", F.concat(*parts)).drop("_t", "_relations", "_labels", "_objects")
 
 
 def figure_rows(figures: DataFrame, meta: DataFrame) -> DataFrame:
