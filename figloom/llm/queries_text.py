@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from figloom.llm import neardup
+from figloom.llm.forest import spanning_forest
 from figloom.sources.tables import table
 
 #: Spaces of problem 5: only texts of one space are compared.
@@ -35,4 +36,23 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return key_pairs(members, links).select(field.alias("field"), "key_a", "key_b").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p5_found,)}
+def groups(members: DataFrame, links: DataFrame) -> DataFrame:
+    """space, key, cls, group_key, n_links: a row per key and class; n_links counts its class's links to other classes.
+
+    Groups are what links connect, directly or through others; group_key is the smallest key. A text
+    without any link is a group with its exact copies.
+    """
+    nodes, _ = spanning_forest(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    degree = links.select(F.col("x").alias("cls")).unionAll(links.select("y")).groupBy("cls").agg(F.count(F.lit(1)).alias("n_links"))
+    own = members.select("space", "key", "cls").distinct().join(nodes.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    first = own.groupBy("root").agg(F.min("key").alias("group_key"))
+    return own.join(first, "root").join(degree, "cls", "left").select("space", "key", "cls", "group_key", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def p5_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Every content and prompt of 30 words or more with its class of equal texts, its group, and the number of linked classes."""
+    found = groups(*neardup.near_duplicates(edited_texts(spark, folder)))
+    return found.select(F.when(F.col("space") == 0, "prompt").otherwise("content").alias("field"), "key", "cls", "group_key", "n_links")
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p5_groups)}

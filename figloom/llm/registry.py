@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from figloom.llm import forest, overlap, queries_items, queries_text
+from figloom.llm import forest, oracle, overlap, queries_items, queries_text
 
 
 def queries() -> dict:
@@ -10,4 +10,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
