@@ -9,7 +9,7 @@ style (script, bold, long s, Greek symbol variants) aren't applied.
 - Wide, narrow, joined, contextual and doubled-up compatibility forms become ordinary letters.
 - Every blank (tab and all space separators) becomes a space, one for one. A line break of any
   kind becomes LF; it's no blank.
-- Control, format and other default-ignorable characters go. Joiners stay where they show: inside
+- Control, format and other default-ignorable characters go (and the four noncharacters used within). Joiners stay where they show: inside
   emoji sequences, and next to letters of joining scripts; so do variation selectors of emoji.
 - Cyrillic and Greek letters drawn like Latin ones become these, accents apart.
 
@@ -50,6 +50,7 @@ _SHOWN = regex.compile(
 #: Stand-ins for shown joiners while the rest are removed: noncharacters, which no exchanged text has.
 _HOLD = {"‌": "﷐", "‍": "﷑", "︎": "﷒", "️": "﷓"}
 _RELEASE = {ord(v): k for k, v in _HOLD.items()}
+_NOT_TEXT = dict.fromkeys(_RELEASE)
 
 
 class _Map(dict):
@@ -84,7 +85,7 @@ def form(text: str, fold_case: bool = False) -> str:
     """The one form of all texts that look like ``text``. Applying it again changes nothing."""
     if text.isascii() and text.isprintable():
         return text.casefold() if fold_case else text
-    held = _SHOWN.sub(lambda m: _HOLD[m[0]], _CRLF.sub("\n", text))
+    held = _SHOWN.sub(lambda m: _HOLD[m[0]], _CRLF.sub("\n", text.translate(_NOT_TEXT)))
     plain = unicodedata.normalize("NFD", held.translate(_map)).translate(_letters)
     out = unicodedata.normalize("NFC", plain).translate(_RELEASE)
     return unicodedata.normalize("NFC", out.casefold()) if fold_case else out

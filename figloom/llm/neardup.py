@@ -297,7 +297,7 @@ def near_duplicates(rows: DataFrame, t: float = THRESHOLD) -> tuple[DataFrame, D
     NULL, empty and short texts are in neither, repeated rows are repeated members. Class ids are
     64-bit hashes, good for some 10**9 different texts.
     """
-    spark = rows.sparkSession
+    spark, rows = rows.sparkSession, rows.select("space", "key", "text")
     scanned = written(scan(rows), "scan")
     rank = spark.sparkContext.broadcast(rarity(scanned))
     members = scanned.where("cls IS NOT NULL").select("space", "key", "tid", "cls", "n_words")

@@ -94,6 +94,7 @@ def overlaps(rows: DataFrame, t: float = N.THRESHOLD) -> tuple[DataFrame, DataFr
 
     ``rows``: space, key, text. A text on both sides is a class of either, and the two are linked.
     """
+    rows = rows.select("space", "key", "text")
     scanned = written(N.scan(rows, bits=None), "scan")
     members = scanned.where("cls IS NOT NULL").select("space", "key", "tid", "cls", "n_words")
     suffix = written(suffixes(rows), "suffixes")

@@ -2,8 +2,8 @@
 
 Agglomerative: a text starts as atoms (sentences and lines; words of a sentence that doesn't fit;
 cuts inside a word only where a word doesn't fit). Neighbours sit in a heap by the strength of the
-boundary between them, then by joint size, then by place. The weakest boundary is merged first, as
-long as the joint size plus the overlap stays within the limit.
+boundary between them, then by place, which fills pieces from the left. The weakest boundary is
+merged first, as long as the joint size plus the overlap stays within the limit.
 """
 
 from __future__ import annotations
@@ -71,18 +71,18 @@ def cut(text: str, limit: int, overlap: int) -> list[tuple[int, int, int]]:
     n = len(starts)
     ends = starts[1:] + [len(text)]
     after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-    heap = [(strengths[i + 1], ends[i + 1] - starts[i], i, i + 1) for i in range(n - 1)]
+    heap = [(strengths[i + 1], i, ends[i + 1] - starts[i], i + 1) for i in range(n - 1)]
     heapq.heapify(heap)
     while heap:
-        _, size, i, j = heapq.heappop(heap)
+        _, i, size, j = heapq.heappop(heap)
         if not (alive[i] and j < n and alive[j]) or after[i] != j or ends[j] - starts[i] != size or size > most:
             continue
         alive[j], ends[i], after[i] = False, ends[j], after[j]
         if after[i] < n:
             before[after[i]] = i
-            heapq.heappush(heap, (strengths[after[i]], ends[after[i]] - starts[i], i, after[i]))
+            heapq.heappush(heap, (strengths[after[i]], i, ends[after[i]] - starts[i], after[i]))
         if before[i] >= 0:
-            heapq.heappush(heap, (strengths[i], ends[i] - starts[before[i]], before[i], i))
+            heapq.heappush(heap, (strengths[i], before[i], ends[i] - starts[before[i]], i))
     out: list[tuple[int, int, int]] = []
     for i in range(n):
         if alive[i]:
