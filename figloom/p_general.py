@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from figloom.functions.names import canonical_path
 from figloom.operators import consolidate as C, orphans as O, shred as S
 from figloom.shared import new_path
-from figloom.sources.tables import setting, table
+from figloom.sources.tables import setting, spread, table
 
 
 def _store(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,7 +56,7 @@ def p4_cascade(spark: SparkSession, folder: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Every claim-text inside a claim, with its number and its parent's."""
-    levels = S.shred(table(spark, folder, "xml_files"), "xml_path", "body")
+    levels = S.shred(spread(table(spark, folder, "xml_files").select("xml_path", "body")), "xml_path", "body")
     return S.claim_nodes(levels).select("xml_path", "claim_no", "node_no", "parent_no").distinct()
 
 

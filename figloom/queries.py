@@ -9,7 +9,7 @@ from figloom.functions.names import document_key, family_key, stem
 from figloom.operators import fts, metadata, store
 from figloom.plans import pipeline
 from figloom.sources import sinks
-from figloom.sources.tables import table
+from figloom.sources.tables import spread, table
 
 QUERIES: dict = {}
 
@@ -31,7 +31,7 @@ def _lines(content) -> object:
 @query
 def document_profile(spark, d):
     """Per document text: figure numbers, class, view and keywords."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     keywords = pipeline.top_keywords(docs, "doc_id", "text")
     nums = F.array_join(X.figure_numbers(F.array("text")), ",")
     return docs.select("doc_id", nums.alias("figure_nums"), X.diagram_class(F.col("text")).alias("diagram_class"), X.view_cue(F.col("text")).alias("view")).join(keywords, "doc_id", "left")
@@ -69,7 +69,7 @@ def fig_numbers(spark, d):
 
 @query
 def diagram_class(spark, d):
-    return table(spark, d, "text_fts").select("doc_id", "section", X.diagram_class(F.col("content")).alias("diagram_class"))
+    return spread(table(spark, d, "text_fts")).select("doc_id", "section", X.diagram_class(F.col("content")).alias("diagram_class"))
 
 
 @query
@@ -84,7 +84,7 @@ def view_cue(spark, d):
 
 @query
 def keywords_topk(spark, d):
-    return pipeline.top_keywords(table(spark, d, "documents"), "doc_id", "text")
+    return pipeline.top_keywords(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 @query

@@ -11,6 +11,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as the cluster runs tasks, for work that is heavy per row.
+
+    A table of many files stays as it is; only one that would leave slots idle is redistributed.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)
+
+
 def setting(spark: SparkSession, folder: str, name: str, default: int | None = None) -> int:
     """One amount of ``size_limits`` (six rows by definition)."""
     row = table(spark, folder, "size_limits").where(f"setting = '{name}'").select("amount").first()
