@@ -79,6 +79,7 @@ def pack(items: DataFrame, capacity: int, window: int = WINDOW, shares: DataFram
     tokens need no room: one part of size 0 with a NULL container. An empty table gives no rows.
     """
     kind = dict(items.dtypes)["doc_id"]
+    items = written(items.select("doc_id", "source", "n_tokens"), "items")  # counted once, read by every pass
 
     def fill(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["size", "doc_id", "part_no"], ascending=[False, True, True])

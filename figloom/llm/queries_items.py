@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from figloom.llm import lookalike, packing, pieces, tokens
-from figloom.sources.tables import setting, table
+from figloom.shared import written
+from figloom.sources.tables import setting, spread, table
 
 
 def p7_pieces(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,19 +25,19 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """The token ids of every document."""
-    return tokens.token_ids(table(spark, folder, "documents"), "doc_id", "text")
+    return tokens.token_ids(spread(table(spark, folder, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 def p8_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: number of tokens, and whether decoding gives the text back (NULL as the empty text)."""
-    documents = table(spark, folder, "documents")
+    documents = spread(table(spark, folder, "documents").select("doc_id", "text"))
     back = tokens.decoded(tokens.token_ids(documents, "doc_id", "text"), "doc_id").withColumnRenamed("text", "back")
     return documents.select("doc_id", "text").join(back, "doc_id").select("doc_id", F.coalesce("text", F.lit("")).eqNullSafe(F.col("back")).alias("same"))
 
 
 def p9_placements(spark: SparkSession, folder: str) -> DataFrame:
     """Where each document's tokens lie."""
-    counts = tokens.token_counts(table(spark, folder, "documents"), ["doc_id", "source"], "text")
+    counts = tokens.token_counts(spread(table(spark, folder, "documents").select("doc_id", "source", "text")), ["doc_id", "source"], "text")
     return packing.pack(counts, setting(spark, folder, "container_tokens"))
 
 
@@ -57,12 +58,13 @@ def p9_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 def p10_forms(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's text in its one form."""
-    return lookalike.with_form(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "form")
+    return lookalike.with_form(spread(table(spark, folder, "documents").select("doc_id", "text"))).select("doc_id", "form")
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of documents whose texts differ and look the same."""
-    return lookalike.look_pairs(lookalike.look_keys(table(spark, folder, "documents"), "doc_id", "text"), "doc_id").distinct()
+    keys = lookalike.look_keys(spread(table(spark, folder, "documents").select("doc_id", "text")), "doc_id", "text")
+    return lookalike.look_pairs(written(keys, "looks"), "doc_id").distinct()
 
 
 QUERIES = {f.__name__: f for f in (p7_found, p7_pieces, p8_ids, p8_round_trip, p9_placements, p9_containers, p9_summary, p10_found, p10_forms)}
