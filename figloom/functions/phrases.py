@@ -72,6 +72,16 @@ def _side(tokens: list[re.Match], text: str, at: int, step: int, edge: int, most
     return " ".join(_stripped(_stripped(words, V.LEADING_FILLERS, V.TRAILING_FILLERS), V.RELATION_STOPS, V.RELATION_STOPS))
 
 
+def short_side(words: Sequence[str], tail: bool, limit: int = 4) -> list[str]:
+    """At most ``limit`` words from the end (``tail``) or the beginning of a side, without outer stop words; from the beginning only up to a relation's word."""
+    stops = V.RELATION_STOPS
+    kept = _stripped(list(words), () if tail else stops, stops if tail else ())
+    kept = kept[-limit:] if tail else kept[:limit]
+    if not tail:
+        kept = kept[: next((i for i, w in enumerate(kept) if w.lower() in V.RELATION_BOUNDS), len(kept))]
+    return _stripped(kept, stops, stops)
+
+
 def _entities(phrase: str) -> list[str]:
     """A phrase of numbered things joined by and/or as its two or three things; any other phrase as it is."""
     if len(phrase.split()) > 2:

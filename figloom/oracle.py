@@ -152,4 +152,26 @@ i AS (SELECT {path('path')} AS p, written_at AS a, removed_at AS b FROM page_fil
 SELECT DISTINCT 'figures' AS ref_table, 'doc_id' AS ref_field, id AS ref_key FROM f WHERE doc_id IS NOT NULL AND NOT EXISTS (FROM d WHERE d.k = f.k AND d.a <= f.at AND (d.b IS NULL OR f.at < d.b))
 UNION SELECT DISTINCT 'figures', 'tiff_path', id FROM f WHERE tiff_path IS NOT NULL AND NOT EXISTS (FROM t WHERE t.k = f.k AND t.p = f.p AND t.a <= f.at AND (t.b IS NULL OR f.at < t.b))
 UNION SELECT DISTINCT 'train', 'image_path', id FROM (SELECT id, {path('image_path')} AS p, recorded_at AS at FROM train WHERE image_path IS NOT NULL) r WHERE NOT EXISTS (FROM i WHERE i.p = r.p AND i.a <= r.at AND (i.b IS NULL OR r.at < i.b))""",
+    "p1_bundles": f"""
+WITH w AS (SELECT *, row_number() OVER (PARTITION BY coalesce({path('path')}, '?' || file_id) ORDER BY written_at DESC NULLS LAST, file_id DESC) AS rn FROM page_files),
+k AS (SELECT applicant_id, file_id, octet_length(payload) AS n, greatest(coalesce(n_bytes, 0), 1) AS size FROM w WHERE rn = 1),
+b AS (SELECT *, floor((sum(size) OVER (PARTITION BY applicant_id ORDER BY file_id) - size) / (SELECT amount FROM size_limits WHERE setting = 'bundle_bytes'))::INT AS bundle_no FROM k)
+SELECT applicant_id, bundle_no, count(*)::INT AS n_files, sum(coalesce(n, 0))::BIGINT AS n_bytes FROM b GROUP BY 1, 2""",
+    "p4_report": f"""
+WITH f AS (SELECT id, {_KEY.format('doc_id')} AS k, doc_id, tiff_path, {_KEY.format('doc_id')} || '|' || {path('tiff_path')} AS p, recorded_at AS moment FROM figures),
+d AS (SELECT {_KEY.format('doc_id')} AS key, indexed_at AS a, removed_at AS b, tiffs FROM docs),
+refs AS (
+  SELECT 'figures' AS ref_table, 'doc_id' AS ref_field, row_number() OVER () AS n, k AS key, moment FROM f WHERE doc_id IS NOT NULL
+  UNION ALL SELECT 'figures', 'tiff_path', row_number() OVER (), p, moment FROM f WHERE tiff_path IS NOT NULL
+  UNION ALL SELECT 'train', 'image_path', row_number() OVER (), {path('image_path')}, recorded_at FROM train WHERE image_path IS NOT NULL),
+targets AS (
+  SELECT 'doc_id' AS ref_field, key, a, b FROM d
+  UNION ALL SELECT 'tiff_path', key || '|' || {path('p')}, a, b FROM (SELECT key, a, b, unnest(tiffs) AS p FROM d)
+  UNION ALL SELECT 'image_path', {path('path')}, written_at, removed_at FROM page_files WHERE kind = 'image'),
+j AS (
+  SELECT ref_table, r.ref_field, n, any_value(r.moment) AS moment, min(t.a) AS first_from, bool_or(t.a <= r.moment AND (t.b IS NULL OR r.moment < t.b)) AS live
+  FROM refs r LEFT JOIN targets t ON r.ref_field = t.ref_field AND r.key = t.key AND t.a IS NOT NULL GROUP BY 1, 2, 3),
+w AS (SELECT *, CASE WHEN coalesce(live, false) THEN NULL WHEN first_from IS NULL THEN 'missing' WHEN first_from > moment THEN 'late' ELSE 'removed' END AS why FROM j)
+SELECT ref_table, ref_field, strftime(moment, '%Y-%m') AS month, count(*) AS n_refs, count(why) AS n_orphans, count(*) FILTER (why = 'missing') AS n_missing, count(*) FILTER (why = 'late') AS n_late, count(*) FILTER (why = 'removed') AS n_removed
+FROM w GROUP BY 1, 2, 3""",
 }

@@ -16,3 +16,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     if _HOME not in paths:
         env["PYTHONPATH"] = os.pathsep.join([_HOME, *paths])
     return spark
+
+
+def warehouse(given: str | None = None) -> str:
+    """The folder of the store: as given, else from FIGLOOM_WAREHOUSE; raises if neither names one."""
+    folder = given or os.environ.get("FIGLOOM_WAREHOUSE")
+    if not folder:
+        raise ValueError("name a warehouse folder, or set FIGLOOM_WAREHOUSE")
+    return folder

@@ -8,6 +8,7 @@ setting (tests) gets a temporary folder of its own.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -15,6 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,8 +34,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing uses yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing uses yet; what is written there goes when the driver ends."""
+    _made.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+@atexit.register
+def _clean() -> None:
+    spark = SparkSession.getActiveSession() if any(not p.startswith(("file:", "/")) for p in _made) else None
+    for path in _made:
+        if path.startswith(("file:", "/")):
+            shutil.rmtree(path.removeprefix("file:").replace("//", "/"), ignore_errors=True)
+        elif spark is not None:
+            with contextlib.suppress(Exception):  # the session may be gone; the folder is scratch space
+                delete(spark, path)
 
 
 def file_system(spark: SparkSession, path: str):

@@ -28,3 +28,11 @@ def setting(spark: SparkSession, folder: str, name: str, default: int | None = N
             raise ValueError(f"size_limits has no {name}")
         return default
     return int(row.amount)
+
+
+def jdbc_table(spark: SparkSession, url: str, name: str, key: str | None = None, bounds: tuple[int, int] | None = None, partitions: int = 8, **options: str) -> DataFrame:
+    """A table of a relational database; with an integer ``key`` and its ``bounds``, read by ``partitions`` tasks."""
+    reader = spark.read.format("jdbc").options(url=url, dbtable=name, **options)
+    if key and bounds:
+        reader = reader.options(partitionColumn=key, lowerBound=str(bounds[0]), upperBound=str(bounds[1]), numPartitions=str(partitions))
+    return reader.load()

@@ -191,4 +191,20 @@ def test_captions_job(spark, tmp_path):
     assert pipeline.captions(spark, out, str(tmp_path / "o"), [str(tmp_path)]).first().written == 1
 
 
+def test_command_line(spark, raw, tmp_path, capsys, monkeypatch):
+    from figloom.__main__ import main
+    from figloom.session import warehouse
+
+    monkeypatch.delenv("FIGLOOM_WAREHOUSE", raising=False)
+    with pytest.raises(ValueError):
+        warehouse()
+    monkeypatch.setenv("FIGLOOM_WAREHOUSE", f"file://{tmp_path}/db")
+    for command in (["init"], ["index", raw], ["fts", raw], ["counts"], ["integrity"], ["vacuum"], ["overview"], ["info"]):
+        main(command)
+    shown = capsys.readouterr().out
+    assert "text_fts" in shown and "tiff_count" in shown and Store(spark, warehouse()).read("docs").count() == 2
+    main(["clear"])
+    assert Store(spark, warehouse()).read("docs").count() == 0
+
+
 _ = io

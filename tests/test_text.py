@@ -146,3 +146,9 @@ def test_prompt(spark):
 @pytest.mark.parametrize("word_, want", [("connected", "connect"), ("generically", "generic"), ("ponies", "poni"), ("running", "run"), ("national", "nation"), ("happy", "happi"), ("hoping", "hope"), ("sky", "sky"), ("consisting", "consist"), ("valves", "valv")])
 def test_stem(word_, want):
     assert stem(word_) == want
+
+
+def test_short_side():
+    words = "the pump of the large red valve is connected to".split()
+    assert P.short_side(words, tail=False) == ["pump", "of", "the", "large"]
+    assert P.short_side(["connected", "pump"], tail=False) == [] and P.short_side(words, tail=True) == ["red", "valve", "is", "connected"] and P.short_side([], tail=True) == []
