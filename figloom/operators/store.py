@@ -1,7 +1,8 @@
 """Tables with keys on a file system: versioned upsert, delete with cascade, truncation, compaction.
 
 A table is a folder of version folders and a pointer file. A write makes a new version and then
-replaces the pointer, so a reader sees all of it or nothing. One writer at a time.
+replaces the pointer in one step, so a reader that starts sees the old or the new one whole. The
+version before the last is deleted. One writer at a time.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from figloom.shared import delete, file_system
+from figloom.shared import delete, file_system, replace_file
 
 SCHEMAS = {
     "docs": "doc_id string, xml string, tiffs array<string>",
@@ -69,17 +70,17 @@ class Store:
         """Replaces the table's contents at once."""
         before, version = self.version(name), f"v-{uuid.uuid4().hex}"
         rows.write.parquet(f"{self.folder}/{name}/{version}")
-        fs, at = self._pointer(name)
-        _, temp = file_system(self.spark, f"{self.folder}/{name}/.next-{version}")
-        out = fs.create(temp, True)
-        out.write(bytearray(version.encode()))
-        out.close()
-        if fs.exists(at):
-            fs.delete(at, False)
-        if not fs.rename(temp, at):
-            raise OSError(f"could not switch {name} to {version}")
+        replace_file(self.spark, f"{self.folder}/{name}/CURRENT", version)
         if before:
-            delete(self.spark, f"{self.folder}/{name}/{before}")
+            self._forget(name, {before, version})
+
+    def _forget(self, name: str, keep: set[str]) -> None:
+        """Deletes all versions but ``keep``: the last one stays for readers that have begun with it."""
+        fs, at = file_system(self.spark, f"{self.folder}/{name}")
+        for entry in fs.listStatus(at):
+            found = entry.getPath().getName()
+            if found.startswith("v-") and found not in keep:
+                delete(self.spark, f"{self.folder}/{name}/{found}")
 
     def upsert(self, name: str, rows: DataFrame) -> None:
         self.write(name, merged(self.read(name), rows, KEYS[name]))

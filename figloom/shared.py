@@ -62,6 +62,21 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file so that a reader sees the old or the new contents: a temporary one takes its name in one step."""
+    fs, at = file_system(spark, path)
+    _, temp = file_system(spark, f"{path}.next-{uuid.uuid4().hex}")
+    out = fs.create(temp, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    context, jvm = spark.sparkContext, spark.sparkContext._jvm
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = context._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    uri = fs.makeQualified(at).toUri()
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(uri, context._jsc.hadoopConfiguration()).rename(fs.makeQualified(temp), fs.makeQualified(at), options)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df``, written to the shared folder and read back: later plans start from the files."""
     spark = df.sparkSession
