@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from figloom.llm import shingles as S
-from figloom.shared import written
+from figloom.shared import drop, written
 
 THRESHOLD = 0.6
 RADIUS = 0.3
@@ -308,4 +308,6 @@ def near_duplicates(rows: DataFrame, t: float = THRESHOLD) -> tuple[DataFrame, D
         sets[s] = pick_pivots([r.text for r in rows.where(F.col("space") == s).where(F.col("key").isin(sample)).orderBy("key").limit(SAMPLE).select("text").collect()])
     pivots = spark.sparkContext.broadcast(sets)
     pairs = written(by_signature(candidates(cell_entries(rows, rank, pivots, t), t), scanned, t), "pairs")
-    return members, written(verified(pairs, texts_of(pairs, members, rows), t), "links")
+    links = written(verified(pairs, texts_of(pairs, members, rows), t), "links")
+    drop(pairs)
+    return members, links

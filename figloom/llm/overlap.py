@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from figloom.llm import neardup as N, shingles as S
 from figloom.llm.neardup import _int64
-from figloom.shared import written
+from figloom.shared import drop, written
 from figloom.sources.tables import table
 
 TRAIN, EVAL = 0, 1
@@ -100,7 +100,9 @@ def overlaps(rows: DataFrame, t: float = N.THRESHOLD) -> tuple[DataFrame, DataFr
     suffix = written(suffixes(rows), "suffixes")
     pairs = N.candidates(meeting_entries(shared(suffix), t), t, lambda x, y: x["space"] != y["space"])
     pairs = written(N.by_signature(pairs, scanned, t), "pairs")
-    return members, written(N.verified(pairs, N.texts_of(pairs, members, rows), t), "links"), suffix
+    links = written(N.verified(pairs, N.texts_of(pairs, members, rows), t), "links")
+    drop(pairs)
+    return members, links, suffix
 
 
 def coverage(suffix: DataFrame) -> DataFrame:
@@ -127,7 +129,8 @@ def _rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def _pairs(spark: SparkSession, folder: str) -> DataFrame:
     """train_id, eval_id, why (hash or text); one row of each."""
-    members, links, _ = overlaps(_rows(spark, folder))
+    members, links, suffix = overlaps(_rows(spark, folder))
+    drop(suffix)  # the links are written
     own = members.select("key", "cls").distinct()
     text = links.select("x", "y").join(own.select(F.col("cls").alias("x"), F.col("key").alias("a"), ), "x").join(own.select(F.col("cls").alias("y"), F.col("key").alias("b")), "y")
     side = members.select("cls", "space").distinct()
