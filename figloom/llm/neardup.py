@@ -44,8 +44,8 @@ RARITY_BLOCKS = 64
 SAMPLE = 256
 SAMPLE_WORDS = 5000
 PIVOTS = 24
-#: Keys up to this number are broadcast (at most 32 MB), more are joined by shuffle.
-BROADCAST_KEYS = 400_000
+#: Key tables up to this size are broadcast, larger ones are joined by shuffle.
+BROADCAST_BYTES = 32 << 20
 OUTER = 1 << 24
 #: A cell's number is the pivot's times this plus the space.
 SPACES = 16
@@ -53,8 +53,10 @@ SCAN = ["space", "key", "tid", "cls", "n_words", "size", "sig", "block", "cells"
 
 
 def by_keys(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """``rows`` joined with ``keys`` (a written table, unique on ``on``): broadcast only after its rows were counted."""
-    return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, on)
+    """``rows`` joined with ``keys`` (a written table, unique on ``on``): broadcast only after its bytes were summed."""
+    row = sum((F.coalesce(F.octet_length(c), F.lit(0)) + 24 if kind == "string" else F.lit(16) for c, kind in keys.dtypes), F.lit(16))
+    small = int(keys.agg(F.sum(row)).first()[0] or 0) <= BROADCAST_BYTES
+    return rows.join(F.broadcast(keys) if small else keys, on)
 
 
 def _int64(a: np.ndarray) -> pa.Array:
