@@ -63,13 +63,13 @@ def _int64(a: np.ndarray) -> pa.Array:
     return pa.array(a.view(np.int64))
 
 
-def scan(rows: DataFrame, bits: int | None = RARITY_BITS) -> DataFrame:
+def scan(rows: DataFrame, bits: int | None = RARITY_BITS, presence: bool = False) -> DataFrame:
     """The first pass over ``rows`` (space int, key string, text string).
 
     Member rows: space, key, tid (the text's hash), cls, n_words, of texts with at least 30 words, and
     on the class's first row in the task its size and signature. Rarity rows: block,
     cells (the task's counts of one block of the table, each class of the task counted once, packed);
-    none without ``bits``.
+    none without ``bits``. With ``presence`` a cell holds a bit per space (below 8) instead of a count.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,7 +78,8 @@ def scan(rows: DataFrame, bits: int | None = RARITY_BITS) -> DataFrame:
             space, texts = b.column(0).to_numpy(zero_copy_only=False).astype(np.int32), b.column(3).to_pylist()
             for at, part in S.chunks(texts):
                 doc, h, n_words, cls = S.shingles(part)
-                cls = cls + space[at : at + len(part)].astype(np.uint64)
+                own = space[at : at + len(part)]
+                cls = cls + own.astype(np.uint64)
                 fresh = np.zeros(len(part), bool)
                 for i in np.flatnonzero(n_words >= S.LEAST_WORDS):
                     if (c := int(cls[i])) not in seen:
@@ -87,7 +88,12 @@ def scan(rows: DataFrame, bits: int | None = RARITY_BITS) -> DataFrame:
                 keep = fresh[doc]
                 doc, h, _ = S.ordered(doc[keep], h[keep], np.zeros(int(keep.sum()), np.uint8))
                 if bits:
-                    np.add.at(cells, (h & np.uint64((1 << bits) - 1)).astype(np.int64), 1)
+                    cell = (h & np.uint64((1 << bits) - 1)).astype(np.int64)
+                    if presence:
+                        for one in np.unique(own):
+                            cells[cell[own[doc] == one]] |= np.uint32(1 << int(one))
+                    else:
+                        np.add.at(cells, cell, 1)
                 kept = np.flatnonzero(n_words >= S.LEAST_WORDS)
                 size = np.bincount(doc, minlength=len(part))[kept].astype(np.int32)
                 sig = S.signatures(doc, h, len(part))[kept][fresh[kept]].view(np.int64).reshape(-1)
@@ -106,8 +112,8 @@ def scan(rows: DataFrame, bits: int | None = RARITY_BITS) -> DataFrame:
     return rows.select("space", "key", F.xxhash64("text"), "text").mapInArrow(run, "space int, key string, tid long, cls long, n_words int, size int, sig array<long>, block int, cells binary")
 
 
-def rarity(scanned: DataFrame, bits: int = RARITY_BITS) -> np.ndarray:
-    """uint8 per cell: 0 and 1 as counted, above that a logarithm of the count. Merged by block on the executors, streaming."""
+def rarity(scanned: DataFrame, bits: int = RARITY_BITS, presence: bool = False) -> np.ndarray:
+    """uint8 per cell: 0 and 1 as counted, above that a logarithm of the count; with ``presence`` the bits. Merged by block on the executors, streaming."""
     size = (1 << bits) // RARITY_BLOCKS
 
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,9 +121,9 @@ def rarity(scanned: DataFrame, bits: int = RARITY_BITS) -> np.ndarray:
         for b in batches:
             for k, packed in zip(b.column(0).to_pylist(), b.column(1)):
                 part = np.frombuffer(zlib.decompress(packed.as_py()), np.uint16)
-                total[k] = total[k] + part if k in total else part.astype(np.uint32)
+                total[k] = part.astype(np.uint32) if k not in total else total[k] | part if presence else total[k] + part
         for k, n in total.items():
-            rank = np.where(n < 2, n, np.minimum(255, 2 + np.rint(12 * np.log2(np.maximum(n, 2) / 2)))).astype(np.uint8)
+            rank = n.astype(np.uint8) if presence else np.where(n < 2, n, np.minimum(255, 2 + np.rint(12 * np.log2(np.maximum(n, 2) / 2)))).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(rank.tobytes(), 1)], pa.binary())], names=["block", "cells"])
 
     blocks = scanned.where("block IS NOT NULL").select("block", "cells").repartition(RARITY_BLOCKS // 4, "block").mapInArrow(merge, "block int, cells binary")

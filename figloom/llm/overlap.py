@@ -34,11 +34,14 @@ def sides(train: DataFrame) -> DataFrame:
     return train.withColumn("space", space).where("space IS NOT NULL")
 
 
-def suffixes(rows: DataFrame) -> DataFrame:
-    """space, cls, size (distinct shingles), n_words, at, h: a row per suffix of each text (space, text) with 30 words or more.
+def suffixes(rows: DataFrame, scanned: DataFrame) -> DataFrame:
+    """space, cls, size (distinct shingles), n_words, at, h: the suffixes of the texts (space, text) with 30 words or more.
 
-    ``at`` is the suffix's first word, ``h`` its prefix. Equal texts of a side are one class, once per task.
+    ``at`` is the suffix's first word, ``h`` its prefix. Equal texts of a side are one class, once per
+    task. Suffixes whose prefix certainly doesn't occur on the other side are left out: a table of
+    fixed size from ``scanned`` (made with presence bits) has a bit per side and hash cell.
     """
+    sides_of = rows.sparkSession.sparkContext.broadcast(N.rarity(scanned, presence=True))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -60,6 +63,9 @@ def suffixes(rows: DataFrame) -> DataFrame:
                 size = np.bincount(S.ordered(doc, h, np.zeros(len(doc), np.uint8))[0], minlength=len(part))
                 n = np.bincount(doc, minlength=len(part))
                 at = np.arange(len(doc)) - (np.cumsum(n) - n)[doc]
+                there = sides_of.value[(h & np.uint64((1 << N.RARITY_BITS) - 1)).astype(np.int64)]
+                met = (there & (2 - own[doc]).astype(np.uint8)) > 0  # bit 1 for the train side's rows, bit 0 for the others
+                doc, h, at = doc[met], h[met], at[met]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(own[doc]), _int64(cls[doc]), pa.array(size[doc].astype(np.int32)), pa.array(n_words[doc].astype(np.int32)), pa.array(at.astype(np.int32)), _int64(h)], names=["space", "cls", "size", "n_words", "at", "h"]
                 )
@@ -95,9 +101,9 @@ def overlaps(rows: DataFrame, t: float = N.THRESHOLD) -> tuple[DataFrame, DataFr
     ``rows``: space, key, text. A text on both sides is a class of either, and the two are linked.
     """
     rows = rows.select("space", "key", "text")
-    scanned = written(N.scan(rows, bits=None), "scan")
+    scanned = written(N.scan(rows, presence=True), "scan")
     members = scanned.where("cls IS NOT NULL").select("space", "key", "tid", "cls", "n_words")
-    suffix = written(suffixes(rows), "suffixes")
+    suffix = written(suffixes(rows, scanned), "suffixes")
     pairs = N.candidates(meeting_entries(shared(suffix), t), t, lambda x, y: x["space"] != y["space"])
     pairs = written(N.by_signature(pairs, scanned, t), "pairs")
     links = written(N.verified(pairs, N.texts_of(pairs, members, rows), t), "links")
@@ -159,8 +165,9 @@ def p3_report(spark: SparkSession, folder: str) -> DataFrame:
 def p3_coverage(spark: SparkSession, folder: str) -> DataFrame:
     """Per evaluation prompt of 30 words or more: the share of it that some training prompt has too, and the longest such span."""
     rows = _rows(spark, folder)
-    members = written(N.scan(rows, bits=None), "scan").where(F.col("space") == EVAL)
-    spans = coverage(written(suffixes(rows), "suffixes"))
+    scanned = written(N.scan(rows, presence=True), "scan")
+    members = scanned.where(F.col("space") == EVAL)
+    spans = coverage(written(suffixes(rows, scanned), "suffixes"))
     return members.select(F.col("key").alias("id"), "cls").distinct().join(spans, "cls", "left").select("id", F.coalesce("covered", F.lit(0.0)).alias("covered"), F.coalesce("longest", F.lit(0)).alias("longest"))
 
 
