@@ -209,7 +209,8 @@ def cell_entries(rows: DataFrame, rank, pivots, t: float = THRESHOLD, bits: int
                 place = np.arange(len(doc)) - first[doc]
                 probe = size - np.ceil(t * size - 1e-9).astype(np.int64) + MEETINGS
                 index = size - np.ceil(2 * t / (1 + t) * size - 1e-9).astype(np.int64) + MEETINGS
-                emit = np.flatnonzero((place < probe[doc]) & (r > 1))
+                able = np.bincount(doc[r > 1], minlength=len(part)) >= size - probe + MEETINGS  # a partner shares at least t of them
+                emit = np.flatnonzero((place < probe[doc]) & (r > 1) & able[doc])
                 cells: list[tuple[np.ndarray, ...]] = []  # (entry, cell, home, distance)
                 own = np.full(len(part), OUTER, np.int64)
                 for s in np.unique(space):
