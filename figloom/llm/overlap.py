@@ -6,14 +6,15 @@ holds both sides has adjacent cross-split suffixes, and only such intervals matt
 formed by counting (with map-side combining), so an interval with a third of all suffixes isn't
 scanned by one task.
 
-Per record, the places of its suffixes in shared intervals merge into spans, and these into its
-coverage. A pair at similarity t shares at least t of either record's distinct shingles, so
+The spans that ``p3_coverage`` reports come from ``spans``, which sorts the suffixes of an interval and takes common
+prefixes of cross-split neighbours. A pair at similarity t shares at least t of either record's distinct shingles, so
 a record of which less is covered has no partner. The others meet in their rarest shared
 intervals (all that are not shared count as rarer still), as in ``neardup``; then the exact check.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -26,6 +27,12 @@ from figloom.shared import drop, written
 from figloom.sources.tables import table
 
 TRAIN, EVAL = 0, 1
+#: Shorter spans count as none.
+LEAST_SPAN = S.SHINGLE_WORDS
+#: Words by which suffixes are sorted at first, and how many times as far each next round looks.
+KEY_WORDS = 12
+FURTHER = 4
+WORD = re.compile("[a-z0-9]+")
 
 
 def sides(train: DataFrame) -> DataFrame:
@@ -112,9 +119,10 @@ def overlaps(rows: DataFrame, t: float = N.THRESHOLD) -> tuple[DataFrame, DataFr
 
 
 def coverage(suffix: DataFrame) -> DataFrame:
-    """cls, covered, longest: the share of a text's words in spans shared with the other side, and the longest span's words.
+    """cls, covered, longest: the share of a text's words in shingles shared with the other side, and the longest run of such words.
 
-    Places whose shingles touch or overlap are one span. Texts without a shared span have no row.
+    Places whose shingles touch or overlap are one run, whichever texts of the other side they are in: no
+    single one need have the run. ``spans`` has what one text shares. Texts without a shared shingle have no row.
     """
     places = shared(suffix).groupBy("cls", "n_words").agg(F.sort_array(F.collect_set("at")).alias("at"))
     w = S.SHINGLE_WORDS
@@ -129,6 +137,168 @@ def coverage(suffix: DataFrame) -> DataFrame:
     return places.select("cls", F.round(acc.total / F.col("n_words"), 4).alias("covered"), acc.longest.alias("longest"))
 
 
+def classes(rows: DataFrame) -> DataFrame:
+    """space, cls, n_words, text of the texts with 30 words or more, once per task."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for b in batches:
+            space, texts = b.column(0).to_numpy(zero_copy_only=False).astype(np.int32), b.column(1)
+            for first, part in S.chunks(texts.to_pylist()):
+                _, _, n_words, cls = S.shingles(part)
+                cls = cls + space[first : first + len(part)].astype(np.uint64)
+                fresh = []
+                for i in np.flatnonzero(n_words >= S.LEAST_WORDS):
+                    if (c := int(cls[i])) not in seen:
+                        seen.add(c)
+                        fresh.append(i)
+                at = np.array(fresh, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(space[first + at]), _int64(cls[at]), pa.array(n_words[at].astype(np.int32)), texts.take(pa.array(first + at))], names=["space", "cls", "n_words", "text"])
+
+    return rows.select("space", "text").mapInArrow(run, "space int, cls long, n_words int, text string")
+
+
+_SUFFIX = "space int, cls long, at int, g long, words string"
+
+
+def _suffix_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.string()))], names=["space", "cls", "at", "g", "words"])
+
+
+def _cut(text: str, ats: Iterable[int], low: int, high: int) -> Iterator[str]:
+    """Words ``low`` to ``high`` of the text's suffixes at ``ats``."""
+    words = WORD.findall(text.lower())
+    ends = np.cumsum([0, *(len(x) + 1 for x in words)]).tolist()
+    joined, last = " ".join(words), len(words)
+    for at in ats:
+        yield joined[ends[min(at + low, last)] : max(ends[min(at + high, last)] - 1, 0)]
+
+
+def first_suffixes(texts: DataFrame, scanned: DataFrame, high: int) -> DataFrame:
+    """The suffixes of ``classes`` with their first ``high`` words, but for those whose shingle certainly isn't on the other side. g: the shingle's hash."""
+    sides_of = texts.sparkSession.sparkContext.broadcast(N.rarity(scanned, presence=True))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for space, cls, text in zip(*(b.column(i).to_pylist() for i in range(3))):
+                _, h, _, _ = S.shingles([text])
+                there = sides_of.value[(h & np.uint64((1 << N.RARITY_BITS) - 1)).astype(np.int64)]
+                ats = np.flatnonzero(there & np.uint8(2 - space))
+                own = zip(ats.tolist(), h[ats].view(np.int64).tolist(), _cut(text, ats.tolist(), 0, high))
+                if rows := [(space, cls, at, g, words) for at, g, words in own]:
+                    yield _suffix_batch(rows)
+
+    return texts.select("space", "cls", "text").mapInArrow(run, _SUFFIX)
+
+
+def further_suffixes(texts: DataFrame, tied: DataFrame, low: int, high: int) -> DataFrame:
+    """The ``tied`` suffixes (cls, at, g) with their words from ``low`` to ``high``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for space, cls, text, own in zip(*(b.column(i).to_pylist() for i in range(4))):
+                ats = [x["at"] for x in own]
+                yield _suffix_batch([(space, cls, x["at"], x["g"], words) for x, words in zip(own, _cut(text, ats, low, high))])
+
+    own = tied.groupBy("cls").agg(F.collect_set(F.struct("at", "g")).alias("own"))
+    return texts.select("space", "cls", "text").join(own, "cls").select("space", "cls", "text", "own").mapInArrow(run, _SUFFIX)
+
+
+def neighbours(suffix: DataFrame, low: int, high: int) -> DataFrame:
+    """space, cls, at, lcp, tied, g of suffixes that share words with the nearest suffix of the other side before or after them.
+
+    ``suffix``: as ``first_suffixes``; those of equal ``g`` share their first ``low`` words. They are sorted by g
+    and words and read once. ``lcp``: the shared words from the suffix's start, ``tied`` if all up to
+    ``high`` are shared; ``g`` then stands for all of them. Of space 0 only tied ones come out.
+    """
+    width = high - low
+    step = max(64, (1 << 20) // width)
+
+    def solved(space: np.ndarray, g: np.ndarray, m: np.ndarray) -> np.ndarray:
+        n, place = len(space), np.arange(len(space))
+        best = np.full(n, -1, np.int64)
+        for turn in (slice(None), slice(None, None, -1)):
+            s, gg, mm = space[turn], g[turn], m[turn]
+            # of each side, the last place so far
+            last = [np.maximum.accumulate(np.where(s == side, place, -1)) for side in (TRAIN, EVAL)]
+            other = np.where(s == TRAIN, last[EVAL], last[TRAIN])
+            met = np.flatnonzero((other >= 0) & (gg[other] == gg))
+            same = (mm[met] == mm[other[met]]) & (mm[met] != 0)
+            got = np.full(n, -1, np.int64)
+            got[met] = np.logical_and.accumulate(same, axis=1).sum(axis=1)
+            best = np.maximum(best, got[turn])
+        return best
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[np.ndarray, ...] | None = None  # rows whose next neighbour is still to come, after one context row
+        context = 0
+
+        def out(rows: tuple[np.ndarray, ...], lcp: np.ndarray, first: int, last: int) -> pa.RecordBatch:
+            space, cls, at, g, m = (x[first:last] for x in rows)
+            lcp = lcp[first:last]
+            tied = lcp == width
+            keep = np.flatnonzero(tied | ((space == EVAL) & (lcp >= 0)))
+            new = g[keep].view(np.uint64)
+            for k in range(width if len(keep) else 0):
+                new = S.mixed(new + m[keep, k])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(space[keep]), pa.array(cls[keep]), pa.array(at[keep]), pa.array((lcp[keep] + low).astype(np.int32)), pa.array(tied[keep]), _int64(new)], names=["space", "cls", "at", "lcp", "tied", "g"]
+            )
+
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                b = whole.slice(start, step)
+                doc, h = S.words(b.column(4).to_pylist())
+                n = np.bincount(doc, minlength=b.num_rows)
+                m = np.zeros((b.num_rows, width), np.uint64)
+                m[doc, np.arange(len(doc)) - (np.cumsum(n) - n)[doc]] = h | np.uint64(1)  # 0: no word
+                rows = (*(b.column(i).to_numpy(zero_copy_only=False) for i in range(4)), m)
+                if held is not None:
+                    rows = tuple(np.concatenate(x) for x in zip(held, rows))
+                lcp = solved(rows[0], rows[3], rows[4])
+                open_ = (rows[0] == rows[0][-1]) & (rows[3] == rows[3][-1])
+                first = int(np.flatnonzero(~open_)[-1]) + 1 if not open_.all() else 0
+                first = max(first, context)
+                yield out(rows, lcp, context, first)
+                context = int(first > 0)
+                held = tuple(x[first - context :] for x in rows)
+        if held is not None:
+            yield out(held, solved(held[0], held[3], held[4]), context, len(held[0]))
+
+    ordered = suffix.repartition("g").sortWithinPartitions("g", "words")
+    return ordered.mapInArrow(run, "space int, cls long, at int, lcp int, tied boolean, g long")
+
+
+def spans(rows: DataFrame, scanned: DataFrame) -> DataFrame:
+    """cls, covered, longest of the texts of space 1 that share ``LEAST_SPAN`` words or more with a text of space 0.
+
+    A span starts at a word and is as long as the common prefix of the suffix there with its nearest
+    neighbour of the other side, so one text of space 0 has all of it. ``covered`` is the share of words in
+    any span, ``longest`` the longest span's words. Suffixes that agree in all words looked at are
+    sorted again by the words that follow, ``FURTHER`` times as far, until none is left.
+    """
+    texts = written(classes(rows), "texts")
+    low, high = 0, KEY_WORDS
+    found = [written(neighbours(first_suffixes(texts, scanned, high), low, high), "neighbours")]
+    while not (tied := found[-1].where("tied")).isEmpty():
+        low, high = high, high * FURTHER
+        found.append(written(neighbours(further_suffixes(texts, tied, low, high), low, high), "neighbours"))
+    ends = None
+    for part in found:
+        part = part.where((F.col("space") == EVAL) & (F.col("lcp") >= LEAST_SPAN)).select("cls", "at", "lcp")
+        ends = part if ends is None else ends.unionAll(part)
+    ends = ends.groupBy("cls", "at").agg(F.max("lcp").alias("lcp"))
+    zero = F.struct(F.lit(0).alias("total"), F.lit(0).alias("end"))
+
+    def step(acc: Column, x: Column) -> Column:
+        end = x["at"] + x["lcp"]
+        return F.struct((acc["total"] + F.greatest(end - F.greatest(acc["end"], x["at"]), F.lit(0))).alias("total"), F.greatest(acc["end"], end).alias("end"))
+
+    own = ends.groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("at", "lcp"))).alias("s"), F.max("lcp").alias("longest"))
+    sizes = texts.where(F.col("space") == EVAL).select("cls", "n_words").distinct()
+    return own.join(sizes, "cls").select("cls", F.round(F.aggregate("s", zero, step)["total"] / F.col("n_words"), 4).alias("covered"), "longest")
+
+
 def _rows(spark: SparkSession, folder: str) -> DataFrame:
     return sides(table(spark, folder, "train")).select("space", F.col("id").alias("key"), F.col("prompt").alias("text")).where("key IS NOT NULL AND text IS NOT NULL")
 
@@ -163,12 +333,11 @@ def p3_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p3_coverage(spark: SparkSession, folder: str) -> DataFrame:
-    """Per evaluation prompt of 30 words or more: the share of it that some training prompt has too, and the longest such span."""
+    """Per evaluation prompt of 30 words or more: the share of it in spans of three words or more that some training prompt of 30 words or more has too, and the longest such span."""
     rows = _rows(spark, folder)
     scanned = written(N.scan(rows, presence=True), "scan")
     members = scanned.where(F.col("space") == EVAL)
-    spans = coverage(written(suffixes(rows, scanned), "suffixes"))
-    return members.select(F.col("key").alias("id"), "cls").distinct().join(spans, "cls", "left").select("id", F.coalesce("covered", F.lit(0.0)).alias("covered"), F.coalesce("longest", F.lit(0)).alias("longest"))
+    return members.select(F.col("key").alias("id"), "cls").distinct().join(spans(rows, scanned), "cls", "left").select("id", F.coalesce("covered", F.lit(0.0)).alias("covered"), F.coalesce("longest", F.lit(0)).alias("longest"))
 
 
 QUERIES = {f.__name__: f for f in (p3_found, p3_report, p3_coverage)}

@@ -175,4 +175,30 @@ def test_pairs_report_and_hashes(spark, tmp_path):
     assert {r.id: r.longest for r in O.p3_coverage(spark, str(tmp_path)).collect()} == {"c": 40}
 
 
+def test_spans_are_of_one_training_text(spark):
+    texts = [t for t in corpus(120, 11) if len(WORD.findall((t or "").lower())) >= 30]
+    texts += ["p q r s t u " * 60, "p q r s t u " * 70 + "end"]
+    # each half of the last is in another training text, and no text has both
+    halves = [[f"h{side}{i}" for i in range(20)] for side in "ab"]
+    texts += [" ".join([*halves[0], *(f"m{i}" for i in range(20))]), " ".join([*(f"n{i}" for i in range(20)), *halves[1]]), " ".join([*halves[0], *halves[1]])]
+    space = [int(i % 4 == 0) for i in range(len(texts))]
+    space[-5:] = [0, 1, 0, 0, 1]
+    rows = as_rows(spark, texts, lambda i: space[i])
+    scanned = N.written(N.scan(rows, presence=True), "scan")
+    got = {r.cls: (r.covered, r.longest) for r in O.spans(rows, scanned).collect()}
+    own = {r.key: r.cls for r in scanned.where("cls IS NOT NULL").collect()}
+    words = [WORD.findall(t.lower()) for t in texts]
+    for i in (i for i, s in enumerate(space) if s):
+        best = [0] * len(words[i])
+        for j in (j for j, s in enumerate(space) if not s):
+            below = [0] * (len(words[j]) + 1)
+            for a in reversed(range(len(words[i]))):
+                below = [below[b + 1] + 1 if words[i][a] == words[j][b] else 0 for b in range(len(words[j]))] + [0]
+                best[a] = max(best[a], *below)
+        hit = {x for a, n in enumerate(best) if n >= 3 for x in range(a, a + n)}
+        want = (round(len(hit) / len(words[i]), 4), max(n for n in best)) if hit else (0, 0)
+        assert got.get(own[f"k{i:04d}"], (0, 0)) == want
+    assert got[own[f"k{len(texts) - 1:04d}"]] == (1.0, 20)
+
+
 _ = Counter, F
