@@ -10,6 +10,8 @@ A repetition level says at which node the entry repeats (0: a new body), a defin
 many of the path's nodes are there, plus 1 if the value is. The recursive claim-text has a column
 per depth, written ``claim/claim-text^k``. The tables are rebuilt from the level sequences alone.
 
+These five tables hold fixed leaves. ``leaves`` has every element and attribute of a body under the path it was met at.
+
 NULL, empty and not well-formed bodies have ``error`` set and no columns.
 """
 
@@ -288,10 +290,108 @@ def assembled(shredded: DataFrame, name: str, key: str = "xml_path") -> DataFram
     return shredded.select(key, "error", "columns").mapInArrow(run, f"`{key}` string, {TABLES[name]}")
 
 
-def flat_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The flat table ``name`` of the bodies that docs.xml or train.source_xml name, the latest extraction of each path."""
+_LEAF = "element_no int, parent_no int, figure_no int, paragraph_no int, claim_no int, node_no int, path string, rep int, def int, value string"
+
+
+class _Leaves(_Walk):
+    """Lists every element, then its attributes, in document order, as rows of ``_LEAF``."""
+
+    def __init__(self) -> None:
+        super().__init__(texts=True)
+        self.rows: list[list] = []
+        self.elements: list[tuple[int, list[int | None], list[str]]] = []  # open ones: number, owners, own text nodes
+        self.n_elements = self.claim_no = self.node_no = 0
+        self.last: dict[str, list[int]] = {}  # of each path, the elements on it at its last entry
+
+    def _entry(self, name: str, value: str | None) -> list:
+        chain = [number for number, *_ in self.elements]
+        path = "/".join([*self.stack, name] if name else self.stack)
+        before = self.last.get(path)
+        rep = 0 if before is None else next((i for i, (x, y) in enumerate(zip(before, chain)) if x != y), len(chain))
+        self.last[path] = chain
+        row = [chain[-1], chain[-2] if len(chain) > 1 else 0, *self.elements[-1][1], path, rep, len(chain) + (value is not None), value]
+        self.rows.append(row)
+        return row
+
+    def start(self, tag: str, attrs: dict) -> None:
+        before = len(self.figures), len(self.paragraphs), len(self.claims)
+        super().start(tag, attrs)
+        owners = list(self.elements[-1][1]) if self.elements else [None] * 4
+        if len(self.figures) > before[0]:
+            owners[0] = len(self.figures)
+        if len(self.paragraphs) > before[1]:
+            owners[1] = len(self.paragraphs)
+        if len(self.claims) > before[2]:
+            first = self.claims[-1][0] == 1
+            self.claim_no, self.node_no = self.claim_no + first, 0 if first else self.node_no + 1
+            owners[2:] = self.claim_no, self.node_no
+        self.n_elements += 1
+        texts: list[str] = []
+        self.elements.append((self.n_elements, owners, texts))
+        self._entry("", None).append(texts)
+        for name, value in attrs.items():
+            self._entry("@" + name[name.rfind("}") + 1 :], value)
+
+    def end(self, tag: str) -> None:
+        super().end(tag)
+        self.elements.pop()
+
+    def _flush(self) -> None:
+        if self.pending and self.elements:
+            self.elements[-1][2].append("".join(self.pending))
+        super()._flush()
+
+    def close(self) -> _Leaves:
+        for row in self.rows:
+            if isinstance(row[-1], list):
+                if texts := squeezed(row.pop()):
+                    row[-2:] = row[-2] + 1, texts
+        return self
+
+
+def leaves_body(body: str | None) -> list[list]:
+    """Every element and attribute of a body: none if it is NULL, empty or not well-formed.
+
+    ``rep`` is the level of the path at which an entry repeats the path's entry before it (0: the first;
+    every element counts as repeatable), ``def`` the path's elements, plus 1 if the value is there. The value
+    is an attribute's, or the text nodes of the element itself. Numbers of the figure, paragraph, claim and
+    claim part that an entry is in are those of the flat tables (node_no 0: the claim itself).
+    """
+    if not body:
+        return []
+    parser = ET.XMLParser(target=_Leaves())
+    try:
+        parser.feed(body)
+        return parser.close().rows
+    except (ET.ParseError, ValueError):
+        return []
+
+
+def leaves(df: DataFrame, key: str, body: str) -> DataFrame:
+    """key and the columns of ``_LEAF``: the rows of ``leaves_body`` for all rows of ``df``."""
+    kinds = [x.rsplit(" ", 1) for x in _LEAF.split(", ")]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _batched(batches):
+            keys, rows = [], []
+            for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                new = leaves_body(x)
+                keys.extend([k] * len(new))
+                rows.extend(new)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *(pa.array([r[i] for r in rows], pa.int32() if kind == "int" else pa.string()) for i, (_, kind) in enumerate(kinds))], names=[key, *(n for n, _ in kinds)])
+
+    return df.select(F.col(key).cast("string").alias(key), F.col(body).cast("string").alias(body)).mapInArrow(run, f"`{key}` string, {_LEAF}")
+
+
+def named_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """xml_path, body: those that docs.xml or train.source_xml name, the latest extraction of each path."""
     named = table(spark, folder, "docs").select("xml").unionAll(table(spark, folder, "train").select("source_xml"))
     wanted = named.select(canonical_path(F.col("xml")).alias("path")).where("path IS NOT NULL").distinct()
     files = table(spark, folder, "xml_files").withColumn("path", canonical_path(F.col("xml_path"))).join(wanted, "path", "left_semi")
     latest = files.groupBy("path").agg(F.max_by(F.struct("xml_path", "body"), F.struct("extracted_at", F.xxhash64("body"))).alias("f")).select("f.xml_path", "f.body")
-    return assembled(shred(latest, "xml_path", "body", texts=True), name)
+    return latest
+
+
+def flat_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The flat table ``name`` of ``named_bodies``."""
+    return assembled(shred(named_bodies(spark, folder), "xml_path", "body", texts=True), name)

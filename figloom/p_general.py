@@ -80,4 +80,9 @@ def p6_claim_parts(spark: SparkSession, folder: str) -> DataFrame:
     return S.flat_table(spark, folder, "claim_parts")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_bundles, p1_named, p4_found, p4_report, p4_cascade, p6_found, p6_documents, p6_figures, p6_paragraphs, p6_claims, p6_claim_parts)}
+def p6_leaves(spark: SparkSession, folder: str) -> DataFrame:
+    """Every element and attribute of the bodies, also those that the five flat tables have no column for."""
+    return S.leaves(S.named_bodies(spark, folder), "xml_path", "body")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_bundles, p1_named, p4_found, p4_report, p4_cascade, p6_found, p6_documents, p6_figures, p6_paragraphs, p6_claims, p6_claim_parts, p6_leaves)}

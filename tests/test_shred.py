@@ -87,3 +87,31 @@ def test_metadata(spark):
     assert b.error and c.error and b.claims == "" and b.method_claim is None and b.figure_nums == []
     sections = M.text_sections(M.with_metadata(spark.createDataFrame([("a", body)], "k string, body string"), "k", "body"), "k").collect()
     assert {r.section: r.content for r in sections}["caption"] == "FIG. 1 is a view.\nFIG. 10\ncap"
+
+
+def test_every_leaf_comes_out(spark):
+    body = """<d><parties><applicants><applicant sequence="1"><orgname>Lid Co</orgname></applicant><applicant sequence="2"><addressbook><country>DE</country></addressbook></applicant></applicants></parties>
+    <drawings><figure num="1"><img file="a.tif" he="9"/><img file="b.tif"/><caption>one</caption><p>two</p></figure></drawings>
+    <description><p id="p1">See <figref idref="f1">FIG. 1</figref> now</p><n:p xmlns:n="u" n:num="2"/></description>
+    <claims><claim num="1"><claim-text>A<b>x<claim-text>deep</claim-text></b></claim-text></claim><claim num="2"><claim-text>Lid of <claim-ref idref="c1">claim 1</claim-ref></claim-text></claim></claims></d>"""
+    rows = [r[1:] for r in S.leaves(spark.createDataFrame([("a", body), ("b", "<d>"), ("c", None)], "xml_path string, body string"), "xml_path", "body").collect()]
+    name = lambda t: t.rpartition("}")[2]
+    want = []
+
+    def visit(e, path):
+        path = [*path, name(e.tag)]
+        texts = " ".join(x for x in (str(t).strip() for t in [e.text or "", *(c.tail or "" for c in e)]) if x)
+        want.append(("/".join(path), texts or None))
+        want.extend(("/".join([*path, "@" + name(k)]), v) for k, v in e.attrib.items())
+        for c in e:
+            visit(c, path)
+
+    visit(ET.fromstring(body), [])
+    assert [(r[6], r[9]) for r in rows] == want
+    at = {(r[6].rpartition("d/")[2], r[9]): r for r in rows}
+    assert at["drawings/figure/img/@file", "b.tif"][2] == 1 and at["drawings/figure/p", "two"][2] == 1
+    assert at["description/p/figref/@idref", "f1"][3] == 1 and at["description/p/@num", "2"][3] == 2
+    assert at["claims/claim/claim-text/claim-ref/@idref", "c1"][4:6] == (2, 1) and at["claims/claim/@num", "2"][4:6] == (2, 0)
+    assert at["claims/claim/claim-text/b/claim-text", "deep"][4:6] == (1, 2)
+    assert [r[7:9] for r in rows if r[6].endswith("applicant/@sequence")] == [(0, 5), (3, 5)]
+    assert all(r[1] < r[0] for r in rows)
