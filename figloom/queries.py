@@ -95,7 +95,7 @@ def sentences(spark, d):
 
 @query
 def relations(spark, d):
-    return _sections(spark, d).where("section != 'caption'").select("doc_id", "section", P.relation_phrases(X.clean(F.col("content"))).alias("relations"))
+    return _sections(spark, d).select("doc_id", "section", P.relation_phrases(X.clean(F.col("content"))).alias("relations"))
 
 
 @query

@@ -152,3 +152,13 @@ def test_short_side():
     words = "the pump of the large red valve is connected to".split()
     assert P.short_side(words, tail=False) == ["pump", "of", "the", "large"]
     assert P.short_side(["connected", "pump"], tail=False) == [] and P.short_side(words, tail=True) == ["red", "valve", "is", "connected"] and P.short_side([], tail=True) == []
+
+
+def test_relations_of_all_sections(spark, tmp_path):
+    from figloom import queries
+
+    text = "The lid is connected to the box."
+    spark.createDataFrame([("a", "caption", text), ("b", "claim", text), ("c", None, text), ("c", None, text)], "doc_id string, section string, content string").write.parquet(str(tmp_path / "text_fts.parquet"))
+    rows = queries.relations(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.section) for r in rows) == [("a", "caption"), ("b", "claim"), ("c", None)]
+    assert len({str(r.relations) for r in rows}) == 1 and rows[0].relations
