@@ -1,15 +1,16 @@
 """Problem 3: records of evaluation splits that also occur, exactly or almost, in the training split.
 
-A suffix array over the concatenated texts, cut at a depth of one shingle (three words) and
-partitioned by it. Suffixes with a common prefix are neighbours there: an interval. An interval that
-holds both sides has adjacent cross-split suffixes, and only such intervals matter. They are
-formed by counting (with map-side combining), so an interval with a third of all suffixes isn't
-scanned by one task.
-
-The spans that ``p3_coverage`` reports come from ``spans``, which sorts the suffixes of an interval and takes common
-prefixes of cross-split neighbours. A pair at similarity t shares at least t of either record's distinct shingles, so
-a record of which less is covered has no partner. The others meet in their rarest shared
-intervals (all that are not shared count as rarer still), as in ``neardup``; then the exact check.
+Pairs: an index of three-word shingles, in the place of a suffix array. A "suffix" is a shingle with
+its place, an interval all suffixes of one shingle. An interval that holds both sides has cross-split
+suffixes, and only such intervals matter. They are formed by counting (with map-side combining), so
+an interval with a third of all suffixes isn't scanned by one task.
+
+A pair at similarity t shares at least t of either record's distinct shingles, so a record with fewer
+shared shingles has no partner. The others meet in their rarest shared intervals (all that are not
+shared count as rarer still), as in ``neardup``; then the exact check.
+
+Spans, as ``p3_coverage`` reports them, come from ``spans``: it sorts the suffixes of an interval by
+the words that follow and takes common prefixes of cross-split neighbours.
 """
 
 from __future__ import annotations
