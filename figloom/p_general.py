@@ -56,7 +56,7 @@ def p4_cascade(spark: SparkSession, folder: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Every claim-text inside a claim, with its number and its parent's."""
-    levels = S.shred(spread(table(spark, folder, "xml_files").select("xml_path", "body")), "xml_path", "body")
+    levels = S.shred(spread(table(spark, folder, "xml_files").select("xml_path", "body")), "xml_path", "body", texts=True)
     return S.claim_nodes(levels).select("xml_path", "claim_no", "node_no", "parent_no").distinct()
 
 

@@ -115,3 +115,13 @@ def test_every_leaf_comes_out(spark):
     assert at["claims/claim/claim-text/b/claim-text", "deep"][4:6] == (1, 2)
     assert [r[7:9] for r in rows if r[6].endswith("applicant/@sequence")] == [(0, 5), (3, 5)]
     assert all(r[1] < r[0] for r in rows)
+
+
+def test_p6_found_takes_the_full_shredding(spark, tmp_path, monkeypatch):
+    from figloom import p_general
+
+    spark.createDataFrame([("a", BODY)], "xml_path string, body string").write.parquet(str(tmp_path / "xml_files.parquet"))
+    seen = []
+    monkeypatch.setattr(S, "claim_nodes", lambda shredded, nodes=S.claim_nodes: seen.append(shredded) or nodes(shredded))
+    assert p_general.p6_found(spark, str(tmp_path)).count() == 5
+    assert {"claim", "paragraph", "figure/caption"} <= {c.leaf for r in seen[0].collect() for c in r["columns"]}
