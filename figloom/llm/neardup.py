@@ -3,134 +3,43 @@
 Jaccard distance is a metric, so a pivot p orders the space: d(x, y) <= r implies
 |d(x, p) - d(y, p)| <= r. The join works on classes (texts with the same word sequence):
 
-1. A first pass names each row's class and counts in how many classes each shingle occurs, in a
-   table of fixed size (``RARITY_BITS``), merged over all tasks.
+1. A first pass (``rarity``) names each row's class and counts the shingles.
 2. Pivots are taken from a bounded sample, the densest first, and each pivot's neighbours leave
-   the sample before the next is taken (the recursion). A class belongs to the Voronoi cell of
+   the sample before the next is taken. A class belongs to the Voronoi cell of
    the nearest pivot within ``RADIUS``, or to the outer cell. A cell's pairs are those with its
    lowest-numbered end in it, so a class within ``RADIUS`` + r of an earlier cell's pivot is copied
    there as a boundary member: the triangle inequality shows that nothing else can reach
    into the cell. Every close pair meets in exactly one cell.
-3. Inside a cell, distances this small force common rare shingles: ordered by rarity, the first
-   |y| - ceil(t|y|) + m of the larger text and the first |x| - ceil(2t/(1+t)|x|) + m of the smaller
-   have at least m = ``MEETINGS`` in common (or all that a small pair must share). Cells are joined on (cell, shingle), with the bounds on
-   size, place, and distance to the pivot in the join condition; pairs are counted, bounded by
-   their parity signatures, and last by the exact similarity of the texts. Each bound is
-   necessary, so no pair is lost, whatever the sample.
+3. Inside a cell, also the outer one, distances this small force common rare shingles, by which
+   the pairs meet (``meetings``), with the bounds on size, place, and distance to the pivot; pairs
+   are counted, bounded by their parity signatures, and last by the exact similarity of the
+   texts. Each bound is necessary, so no pair is lost, whatever the sample.
 
-The counts only order the shingles: collisions in the table cost time and never a pair.
+Random texts have a distance near 1 to every pivot, so only dense groups make cells: the
+outer cell holds most texts, and its part of the join is that on rare shingles (README).
 """
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from figloom.llm import shingles as S
+from figloom.llm import meetings as M, shingles as S
+from figloom.llm.rarity import counted, fresh_texts, rarity, scan, table_bits
 from figloom.shared import drop, written
 
-THRESHOLD = 0.6
+THRESHOLD = M.THRESHOLD
 RADIUS = 0.3
-#: Rare shingles that a pair must have in common: more of them cost a little more join and spare many candidates.
-MEETINGS = 3
-#: Cells of the rarity table, 2**RARITY_BITS bytes when merged; its bound is independent of the data.
-RARITY_BITS = 24
-RARITY_BLOCKS = 64
 #: Classes sampled for pivots (smallest class ids of each space), longest sampled text, most pivots of a space.
 SAMPLE = 256
 SAMPLE_WORDS = 5000
 PIVOTS = 24
-#: Key tables up to this size are broadcast, larger ones are joined by shuffle.
-BROADCAST_BYTES = 32 << 20
 OUTER = 1 << 24
 #: A cell's number is the pivot's times this plus the space.
 SPACES = 16
-SCAN = ["space", "key", "tid", "cls", "n_words", "size", "sig", "block", "cells"]
-
-
-def by_keys(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """``rows`` joined with ``keys`` (a written table, unique on ``on``): broadcast only after its bytes were summed."""
-    row = sum((F.coalesce(F.octet_length(c), F.lit(0)) + 24 if kind == "string" else F.lit(16) for c, kind in keys.dtypes), F.lit(16))
-    small = int(keys.agg(F.sum(row)).first()[0] or 0) <= BROADCAST_BYTES
-    return rows.join(F.broadcast(keys) if small else keys, on)
-
-
-def _int64(a: np.ndarray) -> pa.Array:
-    return pa.array(a.view(np.int64))
-
-
-def scan(rows: DataFrame, bits: int | None = RARITY_BITS, presence: bool = False) -> DataFrame:
-    """The first pass over ``rows`` (space int, key string, text string).
-
-    Member rows: space, key, tid (the text's hash), cls, n_words, of texts with at least 30 words, and
-    on the class's first row in the task its size and signature. Rarity rows: block,
-    cells (the task's counts of one block of the table, each class of the task counted once, packed);
-    none without ``bits``. With ``presence`` a cell holds a bit per space (below 8) instead of a count.
-    """
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, seen = np.zeros(1 << (bits or 0), np.uint32), set()
-        for b in batches:
-            space, texts = b.column(0).to_numpy(zero_copy_only=False).astype(np.int32), b.column(3).to_pylist()
-            for at, part in S.chunks(texts):
-                doc, h, n_words, cls = S.shingles(part)
-                own = space[at : at + len(part)]
-                cls = cls + own.astype(np.uint64)
-                fresh = np.zeros(len(part), bool)
-                for i in np.flatnonzero(n_words >= S.LEAST_WORDS):
-                    if (c := int(cls[i])) not in seen:
-                        seen.add(c)
-                        fresh[i] = True
-                keep = fresh[doc]
-                doc, h, _ = S.ordered(doc[keep], h[keep], np.zeros(int(keep.sum()), np.uint8))
-                if bits:
-                    cell = (h & np.uint64((1 << bits) - 1)).astype(np.int64)
-                    if presence:
-                        for one in np.unique(own):
-                            cells[cell[own[doc] == one]] |= np.uint32(1 << int(one))
-                    else:
-                        np.add.at(cells, cell, 1)
-                kept = np.flatnonzero(n_words >= S.LEAST_WORDS)
-                size = np.bincount(doc, minlength=len(part))[kept].astype(np.int32)
-                sig = S.signatures(doc, h, len(part))[kept][fresh[kept]].view(np.int64).reshape(-1)
-                ends = np.cumsum([0, *np.where(fresh[kept], S.SIGNATURE_LANES, 0)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends, mask=np.append(~fresh[kept], False)), pa.array(sig))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(space[at + kept]), *(b.column(c).take(pa.array(at + kept)) for c in (1, 2)), _int64(cls[kept]), pa.array(n_words[kept].astype(np.int32)), pa.array(size, mask=~fresh[kept]), lists, pa.nulls(len(kept), pa.int32()), pa.nulls(len(kept), pa.binary())],
-                    names=SCAN,
-                )
-        if seen and bits:
-            for k, block in enumerate(np.split(cells, RARITY_BLOCKS)):
-                if block.any():
-                    packed = zlib.compress(np.minimum(block, 65535).astype(np.uint16).tobytes(), 1)
-                    yield pa.RecordBatch.from_arrays([*(pa.nulls(1, kind) for kind in (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))), pa.array([k], pa.int32()), pa.array([packed], pa.binary())], names=SCAN)
-
-    return rows.select("space", "key", F.xxhash64("text"), "text").mapInArrow(run, "space int, key string, tid long, cls long, n_words int, size int, sig array<long>, block int, cells binary")
-
-
-def rarity(scanned: DataFrame, bits: int = RARITY_BITS, presence: bool = False) -> np.ndarray:
-    """uint8 per cell: 0 and 1 as counted, above that a logarithm of the count; with ``presence`` the bits. Merged by block on the executors, streaming."""
-    size = (1 << bits) // RARITY_BLOCKS
-
-    def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for b in batches:
-            for k, packed in zip(b.column(0).to_pylist(), b.column(1)):
-                part = np.frombuffer(zlib.decompress(packed.as_py()), np.uint16)
-                total[k] = part.astype(np.uint32) if k not in total else total[k] | part if presence else total[k] + part
-        for k, n in total.items():
-            rank = n.astype(np.uint8) if presence else np.where(n < 2, n, np.minimum(255, 2 + np.rint(12 * np.log2(np.maximum(n, 2) / 2)))).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(rank.tobytes(), 1)], pa.binary())], names=["block", "cells"])
-
-    blocks = scanned.where("block IS NOT NULL").select("block", "cells").repartition(RARITY_BLOCKS // 4, "block").mapInArrow(merge, "block int, cells binary")
-    out = np.zeros((RARITY_BLOCKS, size), np.uint8)
-    for row in blocks.collect():  # RARITY_BLOCKS rows, 2**bits bytes in all
-        out[row.block] = np.frombuffer(zlib.decompress(row.cells), np.uint8)
-    return out.reshape(-1)
 
 
 def overlaps(sets: list[np.ndarray], doc: np.ndarray, h: np.ndarray, n_texts: int) -> np.ndarray:
@@ -177,39 +86,31 @@ def pick_pivots(texts: list[str], most: int = PIVOTS) -> list[np.ndarray]:
     return out
 
 
-def cell_entries(rows: DataFrame, rank, pivots, t: float = THRESHOLD, bits: int = RARITY_BITS) -> DataFrame:
+def cell_entries(rows: DataFrame, rank, pivots, bits: int, t: float = THRESHOLD) -> DataFrame:
     """The second pass. ``rank``, ``pivots`` (by space): broadcast variables.
 
-    Entries, of each class's shingles that may meet: cell (with the space), home (whether the cell is its
-    own), h, cls, size, place, to_pivot (distance), in_index (the smaller text's part of the
-    prefix). A class is emitted once per task.
+    Entries (``meetings.ENTRY``) of each class's shingles that may meet, in each cell that the class is a member of. A
+    key stands for the cell (with the space) and the shingle. A class is emitted once per task.
     """
+    hot = M.hot_from(rank.value)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = rank.value, set()
-        names = ["cell", "h", "cls", "home", "size", "place", "to_pivot", "in_index"]
         for b in batches:
             spaces, texts = b.column(0).to_numpy(zero_copy_only=False).astype(np.int32), b.column(1).to_pylist()
             for at, part in S.chunks(texts):
                 space = spaces[at : at + len(part)]
                 doc, h, n_words, cls = S.shingles(part)
                 cls = cls + space.astype(np.uint64)
-                fresh = np.zeros(len(part), bool)
-                for i in np.flatnonzero(n_words >= S.LEAST_WORDS):
-                    if (c := int(cls[i])) not in seen:
-                        seen.add(c)
-                        fresh[i] = True
-                keep = fresh[doc]
+                keep = fresh_texts(cls, n_words, seen)[doc]
                 doc, h = doc[keep], h[keep]
                 if not len(doc):
                     continue
                 doc, h, r = S.ordered(doc, h, table[(h & np.uint64((1 << bits) - 1)).astype(np.int64)])
                 size = np.bincount(doc, minlength=len(part))
-                first = np.cumsum(size) - size
-                place = np.arange(len(doc)) - first[doc]
-                probe = size - np.ceil(t * size - 1e-9).astype(np.int64) + MEETINGS
-                index = size - np.ceil(2 * t / (1 + t) * size - 1e-9).astype(np.int64) + MEETINGS
-                able = np.bincount(doc[r > 1], minlength=len(part)) >= size - probe + MEETINGS  # a partner shares at least t of them
+                place = np.arange(len(doc)) - (np.cumsum(size) - size)[doc]
+                probe, index = M.prefixes(size, t)
+                able = np.bincount(doc[r > 1], minlength=len(part)) >= size - probe + M.MEETINGS  # a partner shares at least t of them
                 emit = np.flatnonzero((place < probe[doc]) & (r > 1) & able[doc])
                 cells: list[tuple[np.ndarray, ...]] = []  # (entry, cell, home, distance)
                 own = np.full(len(part), OUTER, np.int64)
@@ -232,50 +133,13 @@ def cell_entries(rows: DataFrame, rank, pivots, t: float = THRESHOLD, bits: int
                 cells.append((e, np.full(len(e), OUTER), np.ones(len(e), bool), np.zeros(len(e))))
                 e, cell, home, far = (np.concatenate(x) for x in zip(*cells))
                 if len(e):
+                    key = S.mixed(h[e] ^ S.mixed((cell * SPACES + space[doc[e]]).astype(np.uint64)))
+                    i, key, group = M.split_hot(key, cls[doc[e]], counted(r[e]), hot=hot)
+                    e, home, far = e[i], home[i], far[i]
                     d = doc[e]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array((cell * SPACES + space[d]).astype(np.int32)), _int64(h[e]), _int64(cls[d]), pa.array(home), pa.array(size[d].astype(np.int32)), pa.array(place[e].astype(np.int32)), pa.array(far.astype(np.float32)), pa.array(place[e] < index[d])],
-                        names=names,
-                    )
-
-    return rows.select("space", "text").mapInArrow(run, "cell int, h long, cls long, home boolean, size int, place int, to_pivot float, in_index boolean")
-
-
-def candidates(entries: DataFrame, t: float = THRESHOLD, also: Callable[[dict, dict], Column] | None = None) -> DataFrame:
-    """x, y (x the smaller text) of the class pairs that pass the bounds inside a cell.
-
-    Both sides read one exchange. A match at places (i, j) leaves at most min(|x|-i, |y|-j) common
-    shingles from there on, and a pair's matches in the prefixes come before all its others.
-    ``also``: a further condition on the two sides, given as column lookups.
-    """
-    once = entries.repartition("cell", "h").dropDuplicates(["cell", "h", "cls"])
-    x, y = once.where("in_index").alias("x"), once.alias("y")
-
-    def need(nx, ny):
-        return F.ceil(F.lit(t / (1 + t)) * (nx + ny) - 1e-9)
+                    yield M.batch_of(key, cls[d], size[d], place[e], place[e] < index[d], home, np.zeros(len(e), np.int64), group, far)
 
-    room = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
-    close = (
-        (F.col("x.cell") == F.col("y.cell")) & (F.col("x.h") == F.col("y.h"))
-        & ((F.col("x.size") < F.col("y.size")) | ((F.col("x.size") == F.col("y.size")) & (F.col("x.cls") < F.col("y.cls"))))
-        & (F.col("x.size") >= F.lit(t) * F.col("y.size") - 1e-9) & (room >= need(F.col("x.size"), F.col("y.size")) - (MEETINGS - 1))
-        & (F.col("y.in_index") | (F.col("y.place") >= 0))  # always true: both sides keep the same columns and so the same exchange
-        & (F.col("x.home") | F.col("y.home")) & (F.abs(F.col("x.to_pivot") - F.col("y.to_pivot")) <= 1 - t + 1e-5)
-    )
-    if also is not None:
-        close = close & also(*({c: F.col(f"{side}.{c}") for c in entries.columns} for side in "xy"))
-    met = x.join(y, close).select(F.col("x.cls").alias("x"), F.col("y.cls").alias("y"), room.alias("room"), need(F.col("x.size"), F.col("y.size")).cast("int").alias("need"))
-    counted = met.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"), F.min("room").alias("room"), F.first("need").alias("need"))
-    return counted.where((F.col("n") >= F.least(F.lit(MEETINGS), F.col("need"))) & (F.col("n") - 1 + F.col("room") >= F.col("need"))).select("x", "y")
-
-
-def by_signature(pairs: DataFrame, members: DataFrame, t: float = THRESHOLD) -> DataFrame:
-    """The pairs whose overlap can still reach the threshold by their parity signatures."""
-    sigs = members.where("sig IS NOT NULL").select("cls", "size", "sig").dropDuplicates(["cls"])
-    a, b = (sigs.select(F.col("cls").alias(c), F.col("size").alias(f"n{c}"), F.col("sig").alias(f"s{c}")) for c in "xy")
-    met = pairs.join(a, "x").join(b, "y")
-    differ = sum((F.bit_count(F.col("sx")[k].bitwiseXOR(F.col("sy")[k])) for k in range(S.SIGNATURE_LANES)), F.lit(0))
-    return met.where((F.col("nx") + F.col("ny") - differ) / 2 >= F.lit(t / (1 + t)) * (F.col("nx") + F.col("ny")) - 1e-9).select("x", "y")
+    return rows.select("space", "text").mapInArrow(run, M.ENTRY)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, t: float = THRESHOLD) -> DataFrame:
@@ -291,11 +155,13 @@ def verified(pairs: DataFrame, texts: DataFrame, t: float = THRESHOLD) -> DataFr
     return pairs.join(x, "x").join(y, "y").select("x", "y", "tx", "ty").mapInArrow(run, "x long, y long, similarity double")
 
 
-def texts_of(pairs: DataFrame, members: DataFrame, rows: DataFrame) -> DataFrame:
-    """cls, text of every class that ``pairs`` (x, y) names: the text of its first member."""
-    needed = pairs.select(F.col("x").alias("cls")).unionAll(pairs.select("y")).distinct()
-    picks = written(members.join(needed, "cls", "left_semi").groupBy("space", "cls").agg(F.min(F.struct("key", "tid")).alias("k")).select("space", "cls", "k.key", "k.tid"), "picks")
-    return by_keys(rows.withColumn("tid", F.xxhash64("text")), picks, ["space", "key", "tid"]).groupBy("cls").agg(F.first("text", ignorenulls=True).alias("text"))
+def pivots_of(rows: DataFrame, members: DataFrame) -> dict[int, list[np.ndarray]]:
+    """The pivots of each space, from bounded samples."""
+    sets = {}
+    for s in [r.space for r in members.select("space").distinct().collect()]:  # a handful by definition
+        sample = [r.key for r in members.where((F.col("space") == s) & (F.col("n_words") <= SAMPLE_WORDS)).orderBy("cls", "key").select("key").limit(SAMPLE).collect()]
+        sets[s] = pick_pivots([r.text for r in rows.where(F.col("space") == s).where(F.col("key").isin(sample)).orderBy("key").limit(SAMPLE).select("text").collect()])
+    return sets
 
 
 def near_duplicates(rows: DataFrame, t: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -307,16 +173,12 @@ def near_duplicates(rows: DataFrame, t: float = THRESHOLD) -> tuple[DataFrame, D
     64-bit hashes, good for some 10**9 different texts.
     """
     spark, rows = rows.sparkSession, rows.select("space", "key", "text")
-    scanned = written(scan(rows), "scan")
-    rank = spark.sparkContext.broadcast(rarity(scanned))
+    bits = table_bits(rows)
+    scanned = written(scan(rows, bits), "scan")
+    rank = spark.sparkContext.broadcast(rarity(scanned, bits).reshape(-1))
     members = scanned.where("cls IS NOT NULL").select("space", "key", "tid", "cls", "n_words")
-    spaces = [r.space for r in members.select("space").distinct().collect()]  # a handful by definition
-    sets = {}
-    for s in spaces:
-        sample = [r.key for r in members.where((F.col("space") == s) & (F.col("n_words") <= SAMPLE_WORDS)).orderBy("cls", "key").select("key").limit(SAMPLE).collect()]
-        sets[s] = pick_pivots([r.text for r in rows.where(F.col("space") == s).where(F.col("key").isin(sample)).orderBy("key").limit(SAMPLE).select("text").collect()])
-    pivots = spark.sparkContext.broadcast(sets)
-    pairs = written(by_signature(candidates(cell_entries(rows, rank, pivots, t), t), scanned, t), "pairs")
-    links = written(verified(pairs, texts_of(pairs, members, rows), t), "links")
+    pivots = spark.sparkContext.broadcast(pivots_of(rows, members))
+    pairs = written(M.by_signature(M.candidates(cell_entries(rows, rank, pivots, bits, t), t), scanned, t), "pairs")
+    links = written(verified(pairs, M.texts_of(pairs, members, rows), t), "links")
     drop(pairs)
     return members, links

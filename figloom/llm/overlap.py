@@ -1,16 +1,18 @@
 """Problem 3: records of evaluation splits that also occur, exactly or almost, in the training split.
 
-Pairs: an index of three-word shingles, in the place of a suffix array. A "suffix" is a shingle with
-its place, an interval all suffixes of one shingle. An interval that holds both sides has cross-split
-suffixes, and only such intervals matter. They are formed by counting (with map-side combining), so
-an interval with a third of all suffixes isn't scanned by one task.
-
-A pair at similarity t shares at least t of either record's distinct shingles, so a record with fewer
-shared shingles has no partner. The others meet in their rarest shared intervals (all that are not
-shared count as rarer still), as in ``neardup``; then the exact check.
-
-Spans, as ``p3_coverage`` reports them, come from ``spans``: it sorts the suffixes of an interval by
-the words that follow and takes common prefixes of cross-split neighbours.
+Two records of similarity t share most of their three-word runs, so they lie together in intervals
+that a suffix array of all texts has at depth three. ``meeting_suffixes`` sends of each record the
+rarest of those suffixes whose first three words both sides have, as many as a pair must share
+some of; sorted by prefix, each interval gives the cross-split pairs whose sizes and places
+allow the similarity. This net is complete: it depends on no span being long.
+
+The pairs cut the texts into partitions, an evaluation text with the training texts it may
+overlap. Of each, ``compared`` makes the suffix array of the concatenated texts: adjacent suffixes of
+different splits have the longest common prefixes, which are the shared spans, merged into the
+record's coverage; and the intervals of depth three, counted, are the exact similarity.
+
+``spans`` does the same without a threshold, over all suffixes of all texts: it sorts the suffixes of an
+interval by the words that follow and takes common prefixes of cross-split neighbours.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from figloom.llm import neardup as N, shingles as S
-from figloom.llm.neardup import _int64
+from figloom.llm import meetings as M, shingles as S
+from figloom.llm.rarity import STEPS, counted, fresh_texts, int64 as _int64, rarity, scan, table_bits
+from figloom.llm.suffixes import SuffixArray, merged
 from figloom.shared import drop, written
 from figloom.sources.tables import table
 
@@ -33,6 +36,9 @@ LEAST_SPAN = S.SHINGLE_WORDS
 #: Words by which suffixes are sorted at first, and how many times as far each next round looks.
 KEY_WORDS = 12
 FURTHER = 4
+#: Training texts of a partition, and words of the partitions that are sorted together.
+PART_TEXTS = 64
+PART_WORDS = 400_000
 WORD = re.compile("[a-z0-9]+")
 
 
@@ -42,100 +48,151 @@ def sides(train: DataFrame) -> DataFrame:
     return train.withColumn("space", space).where("space IS NOT NULL")
 
 
-def suffixes(rows: DataFrame, scanned: DataFrame) -> DataFrame:
-    """space, cls, size (distinct shingles), n_words, at, h: the suffixes of the texts (space, text) with 30 words or more.
+def both_sides(tables: np.ndarray) -> np.ndarray:
+    """A rank per cell from the ranks of either side: 0 where a side has none, else at least 2."""
+    total = np.rint(STEPS * np.log2(counted(tables[0]) + counted(tables[1]) + 1e-9) - STEPS) + 2
+    return np.where((tables[0] > 0) & (tables[1] > 0), np.clip(total, 2, 255), 0).astype(np.uint8)
+
+
+def meeting_suffixes(rows: DataFrame, tables: np.ndarray, bits: int, t: float = M.THRESHOLD) -> DataFrame:
+    """The suffixes (by their first three words, ``meetings.ENTRY``) in which the texts (space, text) must meet a partner.
 
-    ``at`` is the suffix's first word, ``h`` its prefix. Equal texts of a side are one class, once per
-    task. Suffixes whose prefix certainly doesn't occur on the other side are left out: a table of
-    fixed size from ``scanned`` (made with presence bits) has a bit per side and hash cell.
+    ``tables``: ranks by side. A record too few of whose suffixes are on both sides has no partner and sends
+    none; nor does it send those that are on its own side only. Equal texts of a side are one class, once per task.
     """
-    sides_of = rows.sparkSession.sparkContext.broadcast(N.rarity(scanned, presence=True))
+    own_tables = rows.sparkSession.sparkContext.broadcast(tables)
+    ranks = rows.sparkSession.sparkContext.broadcast(both_sides(tables))
+    hot = max(M.hot_from(tables[0]), M.hot_from(tables[1]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
             space, texts = b.column(0).to_numpy(zero_copy_only=False).astype(np.int32), b.column(1).to_pylist()
             for first, part in S.chunks(texts):
-                own = space[first : first + len(part)]
+                side = space[first : first + len(part)]
                 doc, h, n_words, cls = S.shingles(part)
-                cls = cls + own.astype(np.uint64)
-                fresh = np.zeros(len(part), bool)
-                for i in np.flatnonzero(n_words >= S.LEAST_WORDS):
-                    if (c := int(cls[i])) not in seen:
-                        seen.add(c)
-                        fresh[i] = True
-                keep = fresh[doc]
+                cls = cls + side.astype(np.uint64)
+                keep = fresh_texts(cls, n_words, seen)[doc]
                 doc, h = doc[keep], h[keep]
                 if not len(doc):
                     continue
-                size = np.bincount(S.ordered(doc, h, np.zeros(len(doc), np.uint8))[0], minlength=len(part))
-                n = np.bincount(doc, minlength=len(part))
-                at = np.arange(len(doc)) - (np.cumsum(n) - n)[doc]
-                there = sides_of.value[(h & np.uint64((1 << N.RARITY_BITS) - 1)).astype(np.int64)]
-                met = (there & (2 - own[doc]).astype(np.uint8)) > 0  # bit 1 for the train side's rows, bit 0 for the others
-                doc, h, at = doc[met], h[met], at[met]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[doc]), _int64(cls[doc]), pa.array(size[doc].astype(np.int32)), pa.array(n_words[doc].astype(np.int32)), pa.array(at.astype(np.int32)), _int64(h)], names=["space", "cls", "size", "n_words", "at", "h"]
-                )
+                cell = (h & np.uint64((1 << bits) - 1)).astype(np.int64)
+                doc, h, r = S.ordered(doc, h, ranks.value[cell])
+                size = np.bincount(doc, minlength=len(part))
+                place = np.arange(len(doc)) - (np.cumsum(size) - size)[doc]
+                probe, index = M.prefixes(size, t)
+                able = np.bincount(doc[r > 0], minlength=len(part)) >= np.ceil(t * size - 1e-9)
+                e = np.flatnonzero((place < probe[doc]) & (r > 0) & able[doc])
+                if not len(e):
+                    continue
+                cell = (h[e] & np.uint64((1 << bits) - 1)).astype(np.int64)
+                n = counted(own_tables.value[:, cell])
+                mine = side[doc[e]]
+                i, key, group = M.split_hot(h[e], cls[doc[e]], np.where(mine == TRAIN, n[0], n[1]), mine, np.where(mine == TRAIN, n[1], n[0]), hot)
+                e = e[i]
+                d = doc[e]
+                yield M.batch_of(key, cls[d], size[d], place[e], place[e] < index[d], np.ones(len(e), bool), side[d], group, np.zeros(len(e)))
 
-    return rows.select("space", "text").mapInArrow(run, "space int, cls long, size int, n_words int, at int, h long")
+    return rows.select("space", "text").mapInArrow(run, M.ENTRY)
 
 
-def shared(suffix: DataFrame) -> DataFrame:
-    """The suffixes in intervals that hold both sides, with the interval's length ``df``."""
-    intervals = suffix.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("space").alias("low"), F.max("space").alias("high")).where("low < high")
-    return suffix.join(intervals.select("h", "df"), "h")
+def partitions(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """part, chunk, space, cls, text: every evaluation text y of ``pairs`` with the training texts x it was paired with.
 
+    One with very many of them has several chunks, each with its own copy of it.
+    """
+    degree = pairs.groupBy("y").agg(F.ceil(F.count(F.lit(1)) / PART_TEXTS).alias("n"))
+    placed = pairs.join(degree, "y").select("x", F.col("y").alias("part"), F.pmod(F.xxhash64("x"), "n").cast("int").alias("chunk"))
+    of_train = placed.select("part", "chunk", F.lit(TRAIN).alias("space"), F.col("x").alias("cls"))
+    of_eval = placed.select("part", "chunk").distinct().select("part", "chunk", F.lit(EVAL).alias("space"), F.col("part").alias("cls"))
+    return of_train.unionAll(of_eval).join(texts, "cls").select("part", "chunk", "space", "cls", "text")
 
-def meeting_entries(shared_: DataFrame, t: float) -> DataFrame:
-    """Of the records whose coverage allows a partner: the shared intervals in which they must meet it, as ``neardup`` entries.
 
-    A group is one record's own suffixes.
-    """
-    size, n = F.col("size"), F.size("s")
-    record = shared_.groupBy("cls", "space", "size").agg(F.sort_array(F.collect_set(F.struct("df", "h"))).alias("s"))
-    alone = size - n
-    probe = size - F.ceil(t * size - 1e-9).cast("int") + N.MEETINGS
-    index = size - F.ceil(2 * t / (1 + t) * size - 1e-9).cast("int") + N.MEETINGS
-    covered = record.where(n >= F.ceil(t * size - 1e-9)).select("*", alone.alias("alone"), probe.alias("probe"), index.alias("index"))
-    met = covered.select("cls", "space", "size", "alone", "index", F.posexplode(F.slice("s", F.lit(1), F.greatest(F.col("probe") - F.col("alone"), F.lit(0)))).alias("i", "e"))
-    place = F.col("i") + F.col("alone")
-    return met.select(F.lit(0).alias("cell"), F.col("e.h").alias("h"), "cls", "space", F.lit(True).alias("home"), "size", place.alias("place"), F.lit(0.0).cast("float").alias("to_pivot"), (place < F.col("index")).alias("in_index"))
+_COMPARED = "x long, y long, common int, either int, spans array<int>"
 
 
-def overlaps(rows: DataFrame, t: float = N.THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members, links, suffix): like ``near_duplicates``, with links only between space 0 and space 1.
+def compare(part: np.ndarray, space: np.ndarray, cls: np.ndarray, texts: list[str]) -> pa.RecordBatch:
+    """What the suffix array of whole partitions says; a partition has one text of space 1.
 
-    ``rows``: space, key, text. A text on both sides is a class of either, and the two are linked.
+    A row per training text: its common three-word runs with the evaluation text, and those of either. A row
+    without x: the stretches of the evaluation text (start and end by turns) that its spans cover, then the longest span.
     """
-    rows = rows.select("space", "key", "text")
-    scanned = written(N.scan(rows, presence=True), "scan")
-    members = scanned.where("cls IS NOT NULL").select("space", "key", "tid", "cls", "n_words")
-    suffix = written(suffixes(rows, scanned), "suffixes")
-    pairs = N.candidates(meeting_entries(shared(suffix), t), t, lambda x, y: x["space"] != y["space"])
-    pairs = written(N.by_signature(pairs, scanned, t), "pairs")
-    links = written(N.verified(pairs, N.texts_of(pairs, members, rows), t), "links")
-    drop(pairs)
-    return members, links, suffix
+    doc, word = S.words(texts)
+    array = SuffixArray(doc, word, part)
+    interval, text = array.intervals(S.SHINGLE_WORDS)
+    evals = np.flatnonzero(space == EVAL)
+    of_part = np.zeros(int(part.max()) + 1, np.int64)
+    of_part[part[evals]] = evals
+    size = np.bincount(text, minlength=len(texts))
+    held = np.zeros(int(interval.max(initial=0)) + 1, bool)
+    held[interval[space[text] == EVAL]] = True
+    common = np.bincount(text[held[interval]], minlength=len(texts))
+    trains = np.flatnonzero(space == TRAIN)
+    partner = of_part[part[trains]]
+    either = size[trains] + size[partner] - common[trains]
+    best = array.cross(space)
+    n_words = np.bincount(doc, minlength=len(texts))
+    first = np.cumsum(n_words) - n_words
+    spans = []
+    for i in evals:
+        own = best[first[i] : first[i] + n_words[i]]
+        at = np.flatnonzero(own >= LEAST_SPAN)
+        start, end = merged(at, own[at], int(n_words[i]))
+        spans.append([*np.column_stack([start, end]).reshape(-1).tolist(), int(own.max(initial=0))])
+    n, m = len(trains), len(evals)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.append(cls[trains], np.zeros(m, np.int64)), mask=np.append(np.zeros(n, bool), np.ones(m, bool))), pa.array(np.append(cls[partner], cls[evals])),
+            pa.array(np.append(common[trains], np.zeros(m, np.int64)).astype(np.int32)), pa.array(np.append(either, np.zeros(m, np.int64)).astype(np.int32)), pa.array([None] * n + spans, pa.list_(pa.int32())),
+        ],
+        names=["x", "y", "common", "either", "spans"],
+    )
+
+
+def compared(parted: DataFrame) -> DataFrame:
+    """``compare`` of all partitions (``partitions``), read in order, several at once."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
 
-def coverage(suffix: DataFrame) -> DataFrame:
-    """cls, covered, longest: the share of a text's words in shingles shared with the other side, and the longest run of such words.
+        def solved(rows: list[tuple]) -> pa.RecordBatch:
+            keys = [(p, c) for p, c, *_ in rows]
+            number = np.cumsum([1] + [a != b for a, b in zip(keys[1:], keys)]) - 1
+            return compare(number, np.array([r[2] for r in rows]), np.array([r[3] for r in rows], np.int64), [r[4] for r in rows])
 
-    Places whose shingles touch or overlap are one run, whichever texts of the other side they are in: no
-    single one need have the run. ``spans`` has what one text shares. Texts without a shared shingle have no row.
-    """
-    places = shared(suffix).groupBy("cls", "n_words").agg(F.sort_array(F.collect_set("at")).alias("at"))
-    w = S.SHINGLE_WORDS
-    zero = F.struct(F.lit(0).alias("total"), F.lit(0).alias("longest"), F.lit(0).alias("start"), F.lit(-1).alias("end"))
+        words = 0
+        for b in batches:
+            for row in zip(*(b.column(i).to_pylist() for i in range(5))):
+                if held and row[:2] != held[-1][:2]:
+                    if words > PART_WORDS:
+                        yield solved(held)
+                        held, words = [], 0
+                held.append(row)
+                words += len(row[4]) // 5
+        if held:
+            yield solved(held)
 
-    def step(acc: Column, at: Column) -> Column:
-        start = F.when(at <= acc.end, acc.start).otherwise(at)
-        new = at + w - F.greatest(acc.end, at)
-        return F.struct((acc.total + new).alias("total"), F.greatest(acc.longest, at + w - start).alias("longest"), start.alias("start"), (at + w).alias("end"))
+    return parted.repartition("part", "chunk").sortWithinPartitions("part", "chunk").mapInArrow(run, _COMPARED)
 
-    acc = F.aggregate("at", zero, step)
-    return places.select("cls", F.round(acc.total / F.col("n_words"), 4).alias("covered"), acc.longest.alias("longest"))
+
+def overlaps(rows: DataFrame, t: float = M.THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members, links, spans) of ``rows``: space, key, text.
+
+    Members: space, key, tid, cls, n_words, of the texts with 30 words or more. Links: x (of space 0), y (of space 1),
+    similarity, of classes at least as similar as ``t``. A text on both sides is a class of either, and the two are
+    linked. spans: y, spans, of the evaluation texts that a partition was made for.
+    """
+    rows = rows.select("space", "key", "text")
+    bits = table_bits(rows)
+    scanned = written(scan(rows, bits, 2), "scan")
+    members = scanned.where("cls IS NOT NULL").select("space", "key", "tid", "cls", "n_words")
+    pairs = M.candidates(meeting_suffixes(rows, rarity(scanned, bits, 2), bits, t), t, cross=True)
+    pairs = written(M.by_signature(pairs, scanned, t), "pairs")
+    found = written(compared(partitions(pairs, M.texts_of(pairs, members, rows))), "compared")
+    drop(pairs)
+    good = F.col("common") * 1_000_000 >= F.lit(round(t * 1_000_000)) * F.greatest("either", F.lit(1))
+    links = found.where(F.col("x").isNotNull() & good).select("x", "y", (F.col("common") / F.col("either")).alias("similarity"))
+    return members, links, found.where("x IS NULL").select("y", "spans")
 
 
 def classes(rows: DataFrame) -> DataFrame:
@@ -148,12 +205,7 @@ def classes(rows: DataFrame) -> DataFrame:
             for first, part in S.chunks(texts.to_pylist()):
                 _, _, n_words, cls = S.shingles(part)
                 cls = cls + space[first : first + len(part)].astype(np.uint64)
-                fresh = []
-                for i in np.flatnonzero(n_words >= S.LEAST_WORDS):
-                    if (c := int(cls[i])) not in seen:
-                        seen.add(c)
-                        fresh.append(i)
-                at = np.array(fresh, np.int64)
+                at = np.flatnonzero(fresh_texts(cls, n_words, seen))
                 yield pa.RecordBatch.from_arrays([pa.array(space[first + at]), _int64(cls[at]), pa.array(n_words[at].astype(np.int32)), texts.take(pa.array(first + at))], names=["space", "cls", "n_words", "text"])
 
     return rows.select("space", "text").mapInArrow(run, "space int, cls long, n_words int, text string")
@@ -175,16 +227,15 @@ def _cut(text: str, ats: Iterable[int], low: int, high: int) -> Iterator[str]:
         yield joined[ends[min(at + low, last)] : max(ends[min(at + high, last)] - 1, 0)]
 
 
-def first_suffixes(texts: DataFrame, scanned: DataFrame, high: int) -> DataFrame:
+def first_suffixes(texts: DataFrame, tables: np.ndarray, bits: int, high: int) -> DataFrame:
     """The suffixes of ``classes`` with their first ``high`` words, but for those whose shingle certainly isn't on the other side. g: the shingle's hash."""
-    sides_of = texts.sparkSession.sparkContext.broadcast(N.rarity(scanned, presence=True))
+    both = texts.sparkSession.sparkContext.broadcast((tables[0] > 0) & (tables[1] > 0))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for space, cls, text in zip(*(b.column(i).to_pylist() for i in range(3))):
                 _, h, _, _ = S.shingles([text])
-                there = sides_of.value[(h & np.uint64((1 << N.RARITY_BITS) - 1)).astype(np.int64)]
-                ats = np.flatnonzero(there & np.uint8(2 - space))
+                ats = np.flatnonzero(both.value[(h & np.uint64((1 << bits) - 1)).astype(np.int64)])
                 own = zip(ats.tolist(), h[ats].view(np.int64).tolist(), _cut(text, ats.tolist(), 0, high))
                 if rows := [(space, cls, at, g, words) for at, g, words in own]:
                     yield _suffix_batch(rows)
@@ -270,7 +321,7 @@ def neighbours(suffix: DataFrame, low: int, high: int) -> DataFrame:
     return ordered.mapInArrow(run, "space int, cls long, at int, lcp int, tied boolean, g long")
 
 
-def spans(rows: DataFrame, scanned: DataFrame) -> DataFrame:
+def spans(rows: DataFrame, tables: np.ndarray, bits: int) -> DataFrame:
     """cls, covered, longest of the texts of space 1 that share ``LEAST_SPAN`` words or more with a text of space 0.
 
     A span starts at a word and is as long as the common prefix of the suffix there with its nearest
@@ -280,7 +331,7 @@ def spans(rows: DataFrame, scanned: DataFrame) -> DataFrame:
     """
     texts = written(classes(rows), "texts")
     low, high = 0, KEY_WORDS
-    found = [written(neighbours(first_suffixes(texts, scanned, high), low, high), "neighbours")]
+    found = [written(neighbours(first_suffixes(texts, tables, bits, high), low, high), "neighbours")]
     while not (tied := found[-1].where("tied")).isEmpty():
         low, high = high, high * FURTHER
         found.append(written(neighbours(further_suffixes(texts, tied, low, high), low, high), "neighbours"))
@@ -304,41 +355,68 @@ def _rows(spark: SparkSession, folder: str) -> DataFrame:
     return sides(table(spark, folder, "train")).select("space", F.col("id").alias("key"), F.col("prompt").alias("text")).where("key IS NOT NULL AND text IS NOT NULL")
 
 
-def _pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """train_id, eval_id, why (hash or text); one row of each."""
-    members, links, suffix = overlaps(_rows(spark, folder))
-    drop(suffix)  # the links are written
-    own = members.select("key", "cls").distinct()
-    text = links.select("x", "y").join(own.select(F.col("cls").alias("x"), F.col("key").alias("a"), ), "x").join(own.select(F.col("cls").alias("y"), F.col("key").alias("b")), "y")
-    side = members.select("cls", "space").distinct()
-    flip = text.join(side.select(F.col("cls").alias("x"), "space"), "x")
-    text = flip.select(F.when(F.col("space") == TRAIN, F.col("a")).otherwise(F.col("b")).alias("train_id"), F.when(F.col("space") == TRAIN, F.col("b")).otherwise(F.col("a")).alias("eval_id"), F.lit("text").alias("why"))
+def _texts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    members, links, spans_ = overlaps(_rows(spark, folder))
+    return members.select("space", "key", "cls").distinct(), links, spans_
+
+
+def _hashed(spark: SparkSession, folder: str) -> DataFrame:
+    """space, id, sha256 of the rows whose hash occurs on both sides."""
     hashed = sides(table(spark, folder, "train")).where("sha256 IS NOT NULL AND id IS NOT NULL").select("sha256", "id", "space").distinct()
     two = hashed.groupBy("sha256").agg(F.min("space").alias("low"), F.max("space").alias("high")).where("low < high").select("sha256")
-    hashed = hashed.join(two, "sha256", "left_semi")
-    a, b = (hashed.where(F.col("space") == s).select("sha256", F.col("id").alias(name)) for s, name in ((TRAIN, "train_id"), (EVAL, "eval_id")))
-    return text.unionByName(a.join(b, "sha256").select("train_id", "eval_id", F.lit("hash").alias("why"))).where("train_id != eval_id").distinct()
+    return hashed.join(two, "sha256", "left_semi")
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """Cross-split pairs with the same image or nearly the same prompt."""
-    return _pairs(spark, folder).select(F.least("train_id", "eval_id").alias("id_a"), F.greatest("train_id", "eval_id").alias("id_b")).distinct()
+    own, links, _ = _texts(spark, folder)
+    a, b = (own.where(F.col("space") == s).select(F.col("cls").alias(c), F.col("key").alias(k)) for s, c, k in ((TRAIN, "x", "a"), (EVAL, "y", "b")))
+    text = links.select("x", "y").join(a, "x").join(b, "y").select("a", "b")
+    hashed = _hashed(spark, folder)
+    a, b = (hashed.where(F.col("space") == s).select("sha256", F.col("id").alias(k)) for s, k in ((TRAIN, "a"), (EVAL, "b")))
+    pairs = text.unionAll(a.join(b, "sha256").select("a", "b")).where("a != b")
+    return pairs.select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).distinct()
+
+
+def _others(rows: DataFrame, keys: list[str], key: str) -> DataFrame:
+    """Per ``keys`` the smallest and greatest ``key``: some row has another one than k if either differs from k."""
+    return rows.groupBy(*keys).agg(F.min(key).alias("low"), F.max(key).alias("high"))
 
 
 def p3_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Per evaluation split and source (NULL is a source of its own): rows, and rows that overlap train by hash, by text, or either."""
-    hit = _pairs(spark, folder).groupBy(F.col("eval_id").alias("id")).agg(F.max(F.col("why") == "hash").alias("by_hash"), F.max(F.col("why") == "text").alias("by_text"))
+    """Per evaluation split and source (NULL is a source of its own): rows, and rows that overlap train by hash, by text, or either.
+
+    No pair of rows is made: of the training side only the smallest and greatest id per hash or class count.
+    """
+    own, links, _ = _texts(spark, folder)
+    hashed = _hashed(spark, folder)
+    other = (F.col("low") != F.col("id")) | (F.col("high") != F.col("id"))
+    evals = hashed.where(F.col("space") == EVAL).select("sha256", "id")
+    by_hash = evals.join(_others(hashed.where(F.col("space") == TRAIN), ["sha256"], "id"), "sha256").where(other).select("id", F.lit("hash").alias("why"))
+    train = _others(own.where(F.col("space") == TRAIN).select(F.col("cls").alias("x"), "key"), ["x"], "key")
+    partners = links.join(train, "x").groupBy("y").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    by_text = own.where(F.col("space") == EVAL).select(F.col("cls").alias("y"), F.col("key").alias("id")).join(partners, "y").where(other).select("id", F.lit("text").alias("why"))
+    hit = by_hash.unionAll(by_text).groupBy("id").agg(F.max(F.col("why") == "hash").alias("by_hash"), F.max(F.col("why") == "text").alias("by_text"))
     rows = sides(table(spark, folder, "train")).where(F.col("space") == EVAL).select("id", "split", "source").join(hit, "id", "left")
     one = {c: F.coalesce(F.col(c), F.lit(False)) for c in ("by_hash", "by_text")}
     return rows.groupBy("split", "source").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(one["by_hash"]).alias("n_hash"), F.count_if(one["by_text"]).alias("n_text"), F.count_if(one["by_hash"] | one["by_text"]).alias("n_either"))
 
 
+def p3_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """The form without pairs: every prompt of 30 words or more with its class of equal texts, its side, and the number of classes of the other side at 0.6 or more."""
+    own, links, _ = _texts(spark, folder)
+    degree = links.select(F.col("x").alias("cls")).unionAll(links.select("y")).groupBy("cls").agg(F.count(F.lit(1)).alias("n_links"))
+    return own.join(degree, "cls", "left").select(F.col("key").alias("id"), F.when(F.col("space") == TRAIN, "train").otherwise("evaluation").alias("side"), "cls", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def p3_coverage(spark: SparkSession, folder: str) -> DataFrame:
     """Per evaluation prompt of 30 words or more: the share of it in spans of three words or more that some training prompt of 30 words or more has too, and the longest such span."""
     rows = _rows(spark, folder)
-    scanned = written(N.scan(rows, presence=True), "scan")
-    members = scanned.where(F.col("space") == EVAL)
-    return members.select(F.col("key").alias("id"), "cls").distinct().join(spans(rows, scanned), "cls", "left").select("id", F.coalesce("covered", F.lit(0.0)).alias("covered"), F.coalesce("longest", F.lit(0)).alias("longest"))
+    bits = table_bits(rows)
+    scanned = written(scan(rows, bits, 2), "scan")
+    evals = scanned.where(F.col("space") == EVAL)
+    found = spans(rows, rarity(scanned, bits, 2), bits)
+    return evals.select(F.col("key").alias("id"), "cls").distinct().join(found, "cls", "left").select("id", F.coalesce("covered", F.lit(0.0)).alias("covered"), F.coalesce("longest", F.lit(0)).alias("longest"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_report, p3_coverage)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_report, p3_classes, p3_coverage)}

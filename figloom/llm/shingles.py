@@ -16,7 +16,7 @@ LEAST_WORDS = 30
 #: Texts are hashed in groups of about so many bytes, which bounds the arrays.
 CHUNK_BYTES = 2_000_000
 #: 64-bit words of a set's parity signature.
-SIGNATURE_LANES = 16
+SIGNATURE_LANES = 8
 
 _IS_WORD = np.zeros(256, bool)
 _IS_WORD[[*range(ord("0"), ord("9") + 1), *range(ord("a"), ord("z") + 1)]] = True
@@ -77,10 +77,13 @@ def shingles(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.nd
 def ordered(doc: np.ndarray, h: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each text's distinct shingles, ordered by (rank, hash), with their ranks (uint8, a function of the hash).
 
-    One unstable sort of a packed 64-bit key; texts must be numbered below 65,536 and in order.
+    One unstable sort of a packed 64-bit key; texts must be numbered below 65,536 and in order. Where
+    different hashes have equal keys, the sort is done again by whole hashes.
     """
     key = (doc.astype(np.uint64) << np.uint64(48)) | (rank.astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24))
     order = np.argsort(key)
+    if np.any((key[order][1:] == key[order][:-1]) & (h[order][1:] != h[order][:-1])):
+        order = np.lexsort((h, key))
     doc, h, rank = doc[order], h[order], rank[order]
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])

@@ -7,7 +7,8 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from figloom.llm import neardup as N, overlap as O, queries_text as Q, shingles as S
+from figloom.llm import meetings as M, neardup as N, overlap as O, queries_text as Q, rarity as R, shingles as S, suffixes as X
+from figloom.shared import written
 
 WORD = re.compile("[a-z0-9]+")
 
@@ -140,29 +141,15 @@ def test_nothing_in_nothing_out(spark):
 def test_cross_split_overlap_against_brute_force(spark):
     texts = corpus(160, 5)
     space = lambda i: int(i % 4 == 0)
-    members, links, suffix = O.overlaps(as_rows(spark, texts, space))
+    members, links, spans = O.overlaps(as_rows(spark, texts, space))
     own = {}
     for r in members.collect():
         own.setdefault(r.cls, set()).add(r.key)
     got = {tuple(sorted((a, b))) for r in links.collect() for a in own[r.x] for b in own[r.y]}
     want = {(f"k{i:04d}", f"k{j:04d}") for i in range(len(texts)) for j in range(i + 1, len(texts)) if space(i) != space(j) and similar(texts[i], texts[j])}
     assert got == want and want
-    places = {}
-    for i, t in enumerate(texts):
-        w = WORD.findall((t or "").lower())
-        if len(w) >= 30:
-            places[i] = [" ".join(w[k : k + 3]) for k in range(len(w) - 2)]
-    sides = [set().union(*[set(p) for i, p in places.items() if space(i) == s]) for s in (0, 1)]
-    key = {k: c for c, ks in own.items() for k in ks}
-    spans = {r.cls: (r.covered, r.longest) for r in O.coverage(suffix).collect()}
-    for i, p in places.items():
-        hit = [k for k, g in enumerate(p) if g in sides[1 - space(i)]]
-        words = {x for k in hit for x in range(k, k + 3)}
-        longest, run, last = 0, 0, -9
-        for k in hit:
-            run = run + (k - last) if k <= last + 3 else 3
-            last, longest = k, max(longest, run)
-        assert spans.get(key[f"k{i:04d}"], (0, 0)) == ((round(len(words) / (len(p) + 2), 4), longest) if hit else (0, 0))
+    assert {(r.x, r.y) for r in links.collect()} == {(r.x, r.y) for r in links.distinct().collect()}
+    assert {r.y for r in spans.collect()} >= {r.y for r in links.collect()}
 
 
 def test_pairs_report_and_hashes(spark, tmp_path):
@@ -184,8 +171,9 @@ def test_spans_are_of_one_training_text(spark):
     space = [int(i % 4 == 0) for i in range(len(texts))]
     space[-5:] = [0, 1, 0, 0, 1]
     rows = as_rows(spark, texts, lambda i: space[i])
-    scanned = N.written(N.scan(rows, presence=True), "scan")
-    got = {r.cls: (r.covered, r.longest) for r in O.spans(rows, scanned).collect()}
+    bits = R.table_bits(rows)
+    scanned = written(R.scan(rows, bits, 2), "scan")
+    got = {r.cls: (r.covered, r.longest) for r in O.spans(rows, R.rarity(scanned, bits, 2), bits).collect()}
     own = {r.key: r.cls for r in scanned.where("cls IS NOT NULL").collect()}
     words = [WORD.findall(t.lower()) for t in texts]
     for i in (i for i, s in enumerate(space) if s):
@@ -201,4 +189,76 @@ def test_spans_are_of_one_training_text(spark):
     assert got[own[f"k{len(texts) - 1:04d}"]] == (1.0, 20)
 
 
+def test_suffix_array_against_sorting():
+    rnd = random.Random(3)
+    texts = [[rnd.choice("abcd") for _ in range(rnd.randrange(1, 40))] for _ in range(24)] + [list("ab" * 30), list("ab" * 30 + "c")]
+    part, side = np.array([i // 3 for i in range(26)]), np.array([int(i % 3 == 0) for i in range(26)])
+    doc, word = np.repeat(np.arange(26), [len(t) for t in texts]), np.array([hash(w) % 1000003 for t in texts for w in t])
+    array = X.SuffixArray(doc, word, part)
+    start = np.cumsum([0, *map(len, texts)])
+    at = [(i, k) for i, t in enumerate(texts) for k in range(len(t))]
+    tail = [tuple(int(x) for x in word[start[i] + k : start[i + 1]]) for i, k in at]
+    keys = [(part[at[p][0]], tail[p]) for p in array.order]
+    order = {w: r for r, w in enumerate(sorted(set(word.tolist())))}
+    assert keys == sorted(keys, key=lambda x: (x[0], [order[w] for w in x[1]]))
+
+    def prefix(p, q):
+        if part[at[p][0]] != part[at[q][0]]:
+            return 0
+        n = 0
+        for x, y in zip(tail[p], tail[q]):
+            if x != y:
+                break
+            n += 1
+        return n
+
+    a, b = np.array([rnd.randrange(len(at)) for _ in range(500)]), np.array([rnd.randrange(len(at)) for _ in range(500)])
+    assert array.common(a, b).tolist() == [prefix(p, q) for p, q in zip(a, b)]
+    best = array.cross(side)
+    for p in range(len(at)):
+        assert best[p] == max([prefix(p, q) for q in range(len(at)) if side[at[q][0]] != side[at[p][0]]], default=0)
+    interval, text = array.intervals(3)
+    groups = {}
+    for i, t in zip(interval.tolist(), text.tolist()):
+        groups.setdefault(i, set()).add(t)
+    want = {}
+    for (i, k), t in zip(at, tail):
+        if len(t) >= 3:
+            want.setdefault((part[i], t[:3]), set()).add(i)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+
+
+def test_partitions_are_compared_exactly():
+    texts = [t for t in corpus(60, 8) if shingle_set(t)]
+    space = np.array([int(i % 5 == 0) for i in range(len(texts))])
+    batch = O.compare(np.arange(len(texts)) // 5, space, np.arange(len(texts)), texts).to_pylist()
+    for r in batch:
+        if r["x"] is not None:
+            x, y = shingle_set(texts[r["x"]]), shingle_set(texts[r["y"]])
+            assert (r["common"], r["either"]) == (len(x & y), len(x | y))
+    assert sum(r["x"] is None for r in batch) == int(space.sum())
+    copy = O.compare(np.zeros(2, int), np.array([0, 1]), np.array([7, 8]), [texts[0], texts[0]]).to_pylist()
+    n = len(WORD.findall(texts[0].lower()))
+    assert [r["spans"] for r in copy if r["x"] is None] == [[0, n, n]]
+
+
+@pytest.mark.parametrize("cross", [False, True])
+def test_hot_keys_are_split_and_lose_no_pair(monkeypatch, cross):
+    monkeypatch.setattr(M, "HOT", 8)
+    n, rnd = 100, np.random.default_rng(1)
+    cls, h = S.mixed(np.arange(n, dtype=np.uint64) + np.uint64(5)), np.full(n, 77, np.uint64)
+    side = rnd.integers(0, 2, n) if cross else np.zeros(n, np.int64)
+    own, other = (np.bincount(side, minlength=2)[x] for x in (side, 1 - side))
+    e, key, group = M.split_hot(h, cls, own.astype(float), side if cross else None, other.astype(float), hot=8)
+    z = np.zeros(len(e), np.int64)
+    b = M.batch_of(key, cls[e], z + 40, z, z == 0, z == 0, side[e], group, z)
+    k, c, m, f = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+    order = np.argsort(k)
+    got = [tuple(sorted(p)) for batch in M.met(k[order], c[order], m[order], f[order], cross, 0.6) for p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+    signed = cls.view(np.int64).tolist()
+    want = {tuple(sorted((signed[i], signed[j]))) for i in range(n) for j in range(i) if not cross or side[i] != side[j]}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert max(np.unique(key, return_counts=True)[1]) < 60
+
+
 _ = Counter, F
