@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from figloom.functions.names import canonical_path, document_key
 from figloom.shared import drop, written
@@ -60,14 +60,13 @@ def direct_orphans(references: Iterable[Reference]) -> DataFrame:
     return reduce(DataFrame.unionByName, map(_judged, references))
 
 
-def report(references: Iterable[Reference]) -> DataFrame:
-    """Per table, field and month of ``at`` (NULL: rows without a time): references, orphans and their kinds."""
-    references = list(references)
+def report(references: Iterable[Reference], orphans: DataFrame) -> DataFrame:
+    """Per table, field and month of ``at`` (NULL: rows without a time): references, and the direct ones of ``orphans`` (see ``cascade``) by kind."""
     month = F.date_format("at", "yyyy-MM").alias("month")
     every = reduce(DataFrame.unionByName, (r.rows.select(F.lit(r.ref_table).alias("ref_table"), F.lit(r.ref_field).alias("ref_field"), month) for r in references))
     seen = every.groupBy("ref_table", "ref_field", "month").agg(F.count(F.lit(1)).alias("n_refs"))
-    lost = direct_orphans(references).groupBy("ref_table", "ref_field", month).agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("why") == w).alias(f"n_{w}") for w in ("missing", "late", "removed")]
+    lost = orphans.where("step = 0").groupBy(F.col("tab").alias("ref_table"), "ref_field", "month").agg(
+        F.sum("n_rows").alias("n"), *[F.coalesce(F.sum(F.when(F.col("why") == w, F.col("n_rows"))), F.lit(0)).alias(f"n_{w}") for w in ("missing", "late", "removed")]
     )
     same = [seen[c].eqNullSafe(lost[c]) for c in ("ref_table", "ref_field", "month")]
     zero = [F.coalesce(lost[c], F.lit(0)).alias(a) for c, a in (("n", "n_orphans"), ("n_missing", "n_missing"), ("n_late", "n_late"), ("n_removed", "n_removed"))]
@@ -98,18 +97,22 @@ def drawing_references(spark: SparkSession, folder: str) -> list[Reference]:
 
 @dataclass(frozen=True)
 class Graph:
-    """``direct``: tab, key of direct orphans; ``links``: tab, key, parent_tab, parent_key. Keys are strings."""
+    """``direct``: tab, key, ref_field, ref_key, month, why, n_rows of direct orphans; ``links``: tab, key, ref_field, month, parent_tab, parent_key. Keys are strings."""
 
     direct: DataFrame
     links: DataFrame
 
 
+def _grouped(found: DataFrame, key: Column) -> DataFrame:
+    return found.groupBy(F.col("ref_table").alias("tab"), key.alias("key"), "ref_field", "ref_key", F.date_format("at", "yyyy-MM").alias("month"), "why").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def drawing_graph(spark: SparkSession, folder: str) -> Graph:
     """xml_files <- docs <- figures <- train, and docs <- train, docs <- text_fts.
 
     Documents are known by their key, figures and train rows by the key of their id, sections by
     ``document:section``. A record is an orphan if any of its rows is. Rows without a key or
-    without a reference are no record and no link.
+    without a reference are no link; a direct orphan without a key is one that nothing hangs on.
     """
     docs, figures, train = (table(spark, folder, t) for t in ("docs", "figures", "train"))
     doc, own = document_key(F.col("doc_id")), document_key(F.col("id"))
@@ -118,44 +121,49 @@ def drawing_graph(spark: SparkSession, folder: str) -> Graph:
         docs.where("xml IS NOT NULL").select(doc.alias("ref_key"), canonical_path(F.col("xml")).alias("key"), F.col("indexed_at").alias("at")),
         table(spark, folder, "xml_files").select(canonical_path(F.col("xml_path")).alias("key"), F.col("extracted_at").alias("live_from"), F.lit(None).cast("timestamp").alias("live_to")),
     )
-    found = direct_orphans([files]).select(F.col("ref_table").alias("tab"), F.col("ref_key").alias("key")).unionByName(
-        direct_orphans(drawing_references(spark, folder)).select(F.col("ref_table").alias("tab"), document_key(F.col("ref_key")).alias("key"))
-    )
+    found = _grouped(direct_orphans([files]), F.col("ref_key")).unionByName(_grouped(direct_orphans(drawing_references(spark, folder)), document_key(F.col("ref_key"))))
 
-    def link(rows: DataFrame, tab: str, key, parent: str, parent_key) -> DataFrame:
-        return rows.select(F.lit(tab).alias("tab"), key.alias("key"), F.lit(parent).alias("parent_tab"), parent_key.alias("parent_key"))
+    def link(rows: DataFrame, tab: str, key: Column, field: str, at: Column, parent: str, parent_key: Column) -> DataFrame:
+        return rows.select(F.lit(tab).alias("tab"), key.alias("key"), F.lit(field).alias("ref_field"), F.date_format(at, "yyyy-MM").alias("month"), F.lit(parent).alias("parent_tab"), parent_key.alias("parent_key"))
 
+    at = F.col("recorded_at")
     links = [
-        link(figures, "figures", own, "docs", doc),
-        link(train, "train", own, "docs", doc),
-        link(train, "train", own, "figures", own),
-        link(table(spark, folder, "text_fts"), "text_fts", F.concat_ws(":", doc, "section"), "docs", doc),
+        link(figures, "figures", own, "doc_id", at, "docs", doc),
+        link(train, "train", own, "doc_id", at, "docs", doc),
+        link(train, "train", own, "id", at, "figures", own),
+        link(table(spark, folder, "text_fts"), "text_fts", F.concat_ws(":", doc, "section"), "doc_id", F.lit(None).cast("timestamp"), "docs", doc),
     ]
     every = reduce(DataFrame.unionByName, links).where("key IS NOT NULL AND parent_key IS NOT NULL").distinct()
-    return Graph(found.where("key IS NOT NULL").distinct(), every)
+    return Graph(found, every)
 
 
 def cascade(graph: Graph) -> DataFrame:
-    """tab, key, step of every orphan: step 0 is direct, step n hangs on an orphan of step n-1.
+    """tab, key, ref_field, ref_key, month, why, n_rows, step of every orphan: step 0 is direct, step n hangs on an orphan of step n-1.
 
     Each step is a semi-join of the links with the newest orphans and an anti-join with all
     known ones; it ends at the first empty step, at the latest after the longest path. Cycles
-    end too, since nothing is found twice. Each step is a written table.
+    end too, since nothing is found twice. Each step is a written table. An inherited orphan has a
+    row per field and month of its links, ``why`` inherited and no ref_key.
     """
     links = written(graph.links, "links")
-    known = newest = written(graph.direct.withColumn("step", F.lit(0)), "orphans")
-    step = 0
+    first = written(graph.direct.withColumn("step", F.lit(0)), "orphans")
+    newest = first.where("key IS NOT NULL").select("tab", "key").distinct()
+    rows, known, step = first, newest, 0
     while not newest.isEmpty():
         step += 1
         parents = newest.select(F.col("tab").alias("parent_tab"), F.col("key").alias("parent_key"))
-        children = links.join(parents, ["parent_tab", "parent_key"], "left_semi").select("tab", "key").distinct()
-        newest = written(children.join(known, ["tab", "key"], "left_anti").withColumn("step", F.lit(step)), "orphans")
-        known = known.unionByName(newest)
+        children = links.join(parents, ["parent_tab", "parent_key"], "left_semi").join(known, ["tab", "key"], "left_anti")
+        found = children.groupBy("tab", "key", "ref_field", "month").agg(F.count(F.lit(1)).alias("n_rows"))
+        found = written(found.select("tab", "key", "ref_field", F.lit(None).cast("string").alias("ref_key"), "month", F.lit("inherited").alias("why"), "n_rows", F.lit(step).alias("step")), "orphans")
+        newest = found.select("tab", "key").distinct()
+        rows, known = rows.unionByName(found), known.unionByName(newest)
     drop(links)
-    return known
+    return rows
 
 
 def cascade_report(orphans: DataFrame) -> DataFrame:
-    return orphans.groupBy("tab", "step").agg(F.count(F.lit(1)).alias("n_records")).select(
-        "tab", "step", F.when(F.col("step") == 0, "direct").otherwise("inherited").alias("orphan_kind"), "n_records"
+    """Per table, month and step: distinct orphans (a direct one without a key counts by its ref_key)."""
+    one = F.coalesce(F.col("key"), F.concat(F.lit("?"), "ref_key"))
+    return orphans.groupBy("tab", "month", "step").agg(F.count_distinct(one).alias("n_records")).select(
+        "tab", "month", "step", F.when(F.col("step") == 0, "direct").otherwise("inherited").alias("orphan_kind"), "n_records"
     )

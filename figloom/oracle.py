@@ -174,4 +174,28 @@ j AS (
 w AS (SELECT *, CASE WHEN coalesce(live, false) THEN NULL WHEN first_from IS NULL THEN 'missing' WHEN first_from > moment THEN 'late' ELSE 'removed' END AS why FROM j)
 SELECT ref_table, ref_field, strftime(moment, '%Y-%m') AS month, count(*) AS n_refs, count(why) AS n_orphans, count(*) FILTER (why = 'missing') AS n_missing, count(*) FILTER (why = 'late') AS n_late, count(*) FILTER (why = 'removed') AS n_removed
 FROM w GROUP BY 1, 2, 3""",
+    "p4_cascade": f"""
+WITH RECURSIVE f AS MATERIALIZED (SELECT {_KEY.format('id')} AS key, {_KEY.format('doc_id')} AS k, doc_id, tiff_path, {path('tiff_path')} AS p, recorded_at AS moment FROM figures),
+t AS MATERIALIZED (SELECT {_KEY.format('id')} AS key, {_KEY.format('doc_id')} AS k, image_path, {path('image_path')} AS p, recorded_at AS moment FROM train),
+d AS MATERIALIZED (SELECT {_KEY.format('doc_id')} AS key, xml, {path('xml')} AS p, indexed_at AS a, removed_at AS b, tiffs FROM docs),
+pages AS MATERIALIZED (SELECT key, a, b, {path('p')} AS p FROM (SELECT key, a, b, unnest(tiffs) AS p FROM d) WHERE p <> ''),
+x AS MATERIALIZED (SELECT {path('xml_path')} AS p, extracted_at AS a FROM xml_files),
+i AS MATERIALIZED (SELECT {path('path')} AS p, written_at AS a, removed_at AS b FROM page_files WHERE kind = 'image'),
+direct AS MATERIALIZED (
+  SELECT 'docs' AS tab, key, a AS moment FROM d WHERE xml IS NOT NULL AND NOT EXISTS (FROM x WHERE x.p = d.p AND x.a <= d.a)
+  UNION ALL SELECT 'figures', key, moment FROM f WHERE doc_id IS NOT NULL AND NOT EXISTS (FROM d WHERE d.key = f.k AND d.a <= f.moment AND (d.b IS NULL OR f.moment < d.b))
+  UNION ALL SELECT 'figures', key, moment FROM f WHERE tiff_path IS NOT NULL AND NOT EXISTS (FROM pages g WHERE g.key = f.k AND g.p = f.p AND g.a <= f.moment AND (g.b IS NULL OR f.moment < g.b))
+  UNION ALL SELECT 'train', key, moment FROM t WHERE image_path IS NOT NULL AND NOT EXISTS (FROM i WHERE i.p = t.p AND i.a <= t.moment AND (i.b IS NULL OR t.moment < i.b))),
+links AS MATERIALIZED (
+  SELECT DISTINCT * FROM (
+    SELECT 'figures' AS tab, key, moment, 'docs' AS parent_tab, k AS parent_key FROM f
+    UNION ALL SELECT 'train', key, moment, 'docs', k FROM t
+    UNION ALL SELECT 'train', key, moment, 'figures', key FROM t
+    UNION ALL SELECT 'text_fts', {_KEY.format('doc_id')} || ':' || coalesce(section, ''), NULL, 'docs', {_KEY.format('doc_id')} FROM text_fts) WHERE key IS NOT NULL AND parent_key IS NOT NULL),
+o AS (SELECT DISTINCT tab, key, 0 AS step FROM direct WHERE key IS NOT NULL UNION SELECT l.tab, l.key, o.step + 1 FROM o JOIN links l ON l.parent_tab = o.tab AND l.parent_key = o.key WHERE o.step < 9),
+s AS MATERIALIZED (SELECT tab, key, min(step) AS step FROM o GROUP BY 1, 2),
+rows AS (
+  SELECT tab, strftime(moment, '%Y-%m') AS month, 0 AS step, key FROM direct
+  UNION ALL SELECT l.tab, strftime(l.moment, '%Y-%m'), c.step, l.key FROM links l JOIN s c ON c.tab = l.tab AND c.key = l.key JOIN s p ON p.tab = l.parent_tab AND p.key = l.parent_key WHERE c.step > 0 AND p.step = c.step - 1)
+SELECT tab, month, step, CASE WHEN step = 0 THEN 'direct' ELSE 'inherited' END AS orphan_kind, count(DISTINCT key) AS n_records FROM rows GROUP BY 1, 2, 3""",
 }

@@ -40,17 +40,18 @@ def p1_named(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Direct orphans: table, field and id of the referring row."""
-    return O.direct_orphans(O.drawing_references(spark, folder)).select("ref_table", "ref_field", "ref_key").distinct()
+    """Direct orphans, step 0 of the cascade: table, field and id of the referring row."""
+    found = O.cascade(O.drawing_graph(spark, folder)).where("step = 0 AND tab != 'docs'")
+    return found.select(F.col("tab").alias("ref_table"), "ref_field", "ref_key").distinct()
 
 
 def p4_report(spark: SparkSession, folder: str) -> DataFrame:
     """Direct orphans per table, field and month of recording."""
-    return O.report(O.drawing_references(spark, folder))
+    return O.report(O.drawing_references(spark, folder), O.cascade(O.drawing_graph(spark, folder)))
 
 
 def p4_cascade(spark: SparkSession, folder: str) -> DataFrame:
-    """Direct and inherited orphans per table, by the step of the cascade that found them."""
+    """Direct and inherited orphans per table and month, by the step of the cascade that found them."""
     return O.cascade_report(O.cascade(O.drawing_graph(spark, folder)))
 
 

@@ -31,18 +31,21 @@ def test_against_brute_force_with_a_hot_key(spark):
 
 def test_report_counts_months_and_empty_tables(spark):
     ref = reference(spark, [("r1", "a", 1), ("r2", "b", 1), ("r3", "b", 800), ("r4", "b", None)], [("a", 0, None)])
-    got = {r.month: (r.n_refs, r.n_orphans, r.n_missing) for r in O.report([ref]).collect()}
+    graph = lambda r: O.Graph(O._grouped(O.direct_orphans([r]), O.F.col("ref_key")), links)
+    links = spark.createDataFrame([], "tab string, key string, ref_field string, month string, parent_tab string, parent_key string")
+    got = {r.month: (r.n_refs, r.n_orphans, r.n_missing) for r in O.report([ref], O.cascade(graph(ref))).collect()}
     assert got == {"2024-01": (2, 1, 1), "2024-02": (1, 1, 1), None: (1, 1, 1)}
-    assert O.report([reference(spark, [], [])]).count() == 0
+    empty = reference(spark, [], [])
+    assert O.report([empty], O.cascade(graph(empty))).count() == 0
 
 
 def test_cascade_reaches_a_fixpoint(spark):
     links = [("b", "1", "a", "1"), ("c", "1", "b", "1"), ("c", "2", "b", "2"), ("d", "1", "c", "1"), ("a", "9", "d", "1"), ("d", "1", "a", "9"), ("x", "1", "x", "1")]
     graph = O.Graph(
-        spark.createDataFrame([("a", "1"), ("a", "1"), ("b", "1")], "tab string, key string").distinct(),
-        spark.createDataFrame(links, "tab string, key string, parent_tab string, parent_key string"),
+        spark.createDataFrame([(t, k, "f", k, "2024-01", "missing", 1) for t, k in (("a", "1"), ("a", "1"), ("b", "1"), ("a", None))], "tab string, key string, ref_field string, ref_key string, month string, why string, n_rows long"),
+        spark.createDataFrame([(t, k, "f", "2024-02", p, q) for t, k, p, q in links], "tab string, key string, ref_field string, month string, parent_tab string, parent_key string"),
     )
-    got = {(r.tab, r.key): r.step for r in O.cascade(graph).collect()}
+    got = {(r.tab, r.key): r.step for r in O.cascade(graph).where("key IS NOT NULL").collect()}
     assert got == {("a", "1"): 0, ("b", "1"): 0, ("c", "1"): 1, ("d", "1"): 2, ("a", "9"): 3}
     kinds = {(r.tab, r.step): r.orphan_kind for r in O.cascade_report(O.cascade(graph)).collect()}
     assert kinds[("a", 0)] == "direct" and kinds[("a", 3)] == "inherited"
