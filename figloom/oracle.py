@@ -139,6 +139,7 @@ SELECT k || ':' || name || '.png' AS row_id, 'data/work/control/' || name || '_c
 FROM (SELECT {_KEY.format('doc_id')} AS k, {_KEY.format('doc_id')} || '_' || {_STEM.format('tiff_path')} || '_' || {_FILE_TOKEN.format('fig_label')} AS name FROM figures WHERE tiff_path IS NOT NULL AND doc_id IS NOT NULL)""",
     "p1_found": f"""
 SELECT file_id FROM (SELECT file_id, row_number() OVER (PARTITION BY {path('path')} ORDER BY written_at DESC NULLS LAST, file_id DESC) AS rn FROM page_files WHERE path <> '') WHERE rn > 1""",
+    "p1_compacted": "SELECT file_id, path, kind, applicant_id, n_bytes, sha256, sha256(payload) AS computed, written_at, removed_at FROM page_files",
     "p1_named": f"""
 WITH n AS (SELECT DISTINCT field, {path('p')} AS path FROM (
   SELECT 'train.image_path' AS field, image_path AS p FROM train UNION ALL SELECT 'train.control_path', control_path FROM train UNION ALL SELECT 'docs.tiffs', unnest(tiffs) FROM docs) WHERE p <> ''),

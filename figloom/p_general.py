@@ -25,6 +25,13 @@ def p1_bundles(spark: SparkSession, folder: str) -> DataFrame:
     return _store(spark, folder).select("applicant_id", "bundle_no", "n_files", "n_bytes")
 
 
+def p1_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """page_files as it is, rewritten as few files without a shuffle, and read from these."""
+    final = new_path(spark, "compact")
+    C.compact_files(spark, f"{folder}/page_files.parquet", final)
+    return spark.read.parquet(final).select("file_id", "path", "kind", "applicant_id", "n_bytes", "sha256", F.sha2("payload", 256).alias("computed"), "written_at", "removed_at")
+
+
 def p1_named(spark: SparkSession, folder: str) -> DataFrame:
     """Of the files that train and docs name: how many distinct paths per field, and how many of them page_files has."""
     train, docs = table(spark, folder, "train"), table(spark, folder, "docs")
@@ -86,4 +93,4 @@ def p6_leaves(spark: SparkSession, folder: str) -> DataFrame:
     return S.leaves(S.named_bodies(spark, folder), "xml_path", "body")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_bundles, p1_named, p4_found, p4_report, p4_cascade, p6_found, p6_documents, p6_figures, p6_paragraphs, p6_claims, p6_claim_parts, p6_leaves)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_bundles, p1_compacted, p1_named, p4_found, p4_report, p4_cascade, p6_found, p6_documents, p6_figures, p6_paragraphs, p6_claims, p6_claim_parts, p6_leaves)}
