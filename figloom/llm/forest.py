@@ -3,7 +3,7 @@
 ``spanning_forest`` contracts a graph in Borůvka's manner: every component takes its lightest edge,
 the chains of these are folded onto one root, the other edges move to the roots. Weights are
 hashes of the edges, hence distinct, so the chosen edges form trees. All tables are written to the
-shared folder; no link and no component reaches the driver. ``deal`` gives the roots to splits.
+shared folder, the forest too; no link and no component reaches the driver. ``deal`` gives the roots to splits.
 """
 
 from __future__ import annotations
@@ -17,11 +17,8 @@ from figloom.operators.running import running_total
 from figloom.shared import drop, written
 from figloom.sources.tables import table
 
-#: Groups with at least this share of all rows are dealt one by one; there are at most 1 / BIG of them.
-BIG = 0.01
 #: Link kinds that make documents related.
 KINDS = ("continuation", "division", "priority", "reissue")
-_GOLDEN = 0.6180339887498949
 
 
 def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -60,7 +57,7 @@ def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         drop(live)
         live = after
     forest = reduce(DataFrame.unionAll, chosen).distinct() if chosen else graph.select("a", "b").limit(0)
-    return nodes, forest
+    return nodes, written(forest, "forest")
 
 
 def related(docs: DataFrame, links: DataFrame) -> DataFrame:
@@ -93,36 +90,35 @@ def document_groups(docs: DataFrame, links: DataFrame, more: DataFrame | None =
 def deal(groups: DataFrame, plan: DataFrame) -> DataFrame:
     """root, split for every group (root, n_rows), near the shares of ``plan`` (split, share).
 
-    Groups of at least ``BIG`` of all rows, at most 100, go one by one to the split that lacks most. The
-    others are stratified by size band (powers of two) and dealt systematically: in hashed order,
-    the n-th of a band goes where n times the golden ratio points, which keeps every stretch of the
-    deal near the shares. Shares are scaled to 1; NULL and negative ones count as 0.
+    One rule for all sizes. Groups are stratified by size band (powers of two), the largest first. In a band they
+    stand in hashed order, and the band's rows are cut into stretches in proportion to what each split still
+    lacks, the one that lacks most first; a group goes where its first row falls. What a band gave too much or
+    too little the next one makes good, so that in the end a split is off by a group of the smallest band,
+    or by what the large groups left no room to mend. A job per band, at most 63. Shares are scaled to 1; NULL and
+    negative ones count as 0.
     """
     shares = sorted((r.split, max(0.0, float(r.share or 0))) for r in plan.select("split", "share").collect())  # one row per split
     whole = sum(s for _, s in shares)
     if not whole:
         raise ValueError("the plan has no share above 0")
-    groups = written(groups, "groups")
-    total = int(groups.agg(F.sum("n_rows")).first()[0] or 0)
+    band = F.floor(F.log2(F.greatest("n_rows", F.lit(1)))).cast("int")
+    queued = running_total(groups.withColumn("band", band).withColumn("_turn", F.md5(F.col("root").cast("string"))), ["band"], ["_turn", "root"], "n_rows")
+    queued = written(queued.select("root", "n_rows", "band", "before"), "queued")
+    bands = {r.band: int(r.n or 0) for r in queued.groupBy("band").agg(F.sum("n_rows").alias("n")).collect()}  # a row per band
+    total = sum(bands.values())
     lack = {split: share / whole * total for split, share in shares}
-    big = groups.where(F.col("n_rows") >= max(1.0, BIG * total)) if total >= 1 / BIG else groups.limit(0)
-    given = []
-    for r in big.orderBy(F.desc("n_rows"), "root").limit(int(1 / BIG)).collect():
-        best = max(sorted(lack), key=lambda s: lack[s])
-        lack[best] -= r.n_rows
-        given.append((r.root, best))
-    rest = sum(max(0.0, x) for x in lack.values()) or 1.0
-    kinds = dict(groups.dtypes)["root"]
-    first = groups.sparkSession.createDataFrame(given, f"root {kinds}, split string")
-    small = groups.join(F.broadcast(first.select("root")), "root", "left_anti").withColumn("band", F.floor(F.log2("n_rows")).cast("int")).withColumn("_one", F.lit(1)).withColumn("_turn", F.xxhash64("root"))
-    dealt = running_total(small, ["band"], ["_turn", "root"], "_one", out="nth")
-    point = F.pmod((F.col("nth") + 0.5 + F.col("band") * 0.37) * _GOLDEN, F.lit(1.0))
-    split, upto = F, 0.0
-    for name, _ in shares[:-1]:
-        upto += max(0.0, lack[name]) / rest
-        split = split.when(point < upto, name)
-    split = split.otherwise(shares[-1][0]) if len(shares) > 1 else F.lit(shares[-1][0])
-    return dealt.select("root", split.alias("split")).unionByName(first)
+    choice = F
+    for k in sorted(bands, reverse=True):
+        wanted = sorted(((max(0.0, x), split) for split, x in lack.items()), key=lambda x: (-x[0], x[1]))
+        room, upto, split = sum(x for x, _ in wanted) or 1.0, 0.0, F
+        for x, name in wanted[:-1]:
+            upto += x / room * bands[k]
+            split = split.when(F.col("before") < F.lit(upto), name)
+        split = split.otherwise(wanted[-1][1]) if len(wanted) > 1 else F.lit(wanted[-1][1])
+        choice = choice.when(F.col("band") == k, split)
+        for r in queued.where(F.col("band") == k).groupBy(split.alias("split")).agg(F.sum("n_rows").alias("n")).collect():  # a row per split
+            lack[r.split] -= int(r.n or 0)
+    return queued.select("root", (choice if bands else F.lit(None).cast("string")).alias("split"))
 
 
 def p2_groups(spark: SparkSession, folder: str, with_train: bool = False) -> DataFrame:
@@ -137,6 +133,22 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return groups.join(size.where("n > 1"), "root").select("doc_id", "group_doc_id").distinct()
 
 
+def p2_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """The persisted forest by group of documents: nodes (documents, families, also such as are in no docs row) and edges; a tree has one edge less than nodes."""
+    docs = table(spark, folder, "docs")
+    nodes, forest = spanning_forest(related(docs, table(spark, folder, "doc_links")))
+    n_edges = forest.join(nodes.select(F.col("node").alias("a"), "root"), "a").groupBy("root").agg(F.count(F.lit(1)).alias("n_edges"))
+    known = docs.select(F.concat(F.lit("D"), document_key(F.col("doc_id"))).alias("node"), "doc_id").distinct()
+    sizes = nodes.join(known, "node", "left").groupBy("root").agg(F.count_distinct("node").alias("n_nodes"), F.min("doc_id").alias("first_doc_id"), F.min("node").alias("first_node"))
+    return sizes.join(n_edges, "root").select("first_node", "first_doc_id", "n_nodes", "n_edges")
+
+
+def p2_together(spark: SparkSession, folder: str) -> DataFrame:
+    """Per group with a row of docs: its documents in docs, its rows of docs and train, and over how many splits these lie."""
+    found = _split(spark, folder).where("group_doc_id IS NOT NULL")
+    return found.groupBy("group_doc_id").agg(F.count_distinct(F.when(F.col("indexed"), F.col("doc_key"))).alias("n_docs"), F.sum("n_rows").alias("n_rows"), F.count_distinct("split").alias("n_splits"))
+
+
 def _split(spark: SparkSession, folder: str) -> DataFrame:
     groups = written(p2_groups(spark, folder, with_train=True), "ids")
     size = groups.groupBy("root").agg(F.sum("n_rows").alias("n_rows"), F.min(F.when(F.col("indexed"), F.col("doc_id"))).alias("group_doc_id"))
@@ -163,4 +175,4 @@ def p2_shares(spark: SparkSession, folder: str) -> DataFrame:
     return plan.select("split", "n_rows", F.round(F.col("n_rows") / total, 4).alias("share"), "wanted")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_splits, p2_train_splits, p2_shares)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_trees, p2_together, p2_splits, p2_train_splits, p2_shares)}

@@ -21,17 +21,26 @@ c AS (SELECT x.n AS a, y.n AS b, count(*) AS c FROM e x JOIN e y ON x.g = y.g AN
 sim AS (SELECT a, b FROM c JOIN s x ON x.n = a JOIN s y ON y.n = b WHERE c >= 0.6 * (len(x.s) + len(y.s) - c))"""
 
 
-SQL = {
-    "p2_found": f"""
+_GRAPH = f"""
 WITH RECURSIVE e0 AS (
   SELECT 'D' || {_KEY.format('doc_id')} AS a, 'F' || {_BARE} AS b FROM docs WHERE regexp_full_match({_BARE}, 'F[0-9]+')
   UNION SELECT 'D' || {_KEY.format('doc_id')}, 'D' || {_KEY.format('related_doc_id')} FROM doc_links WHERE link_kind IN ({_KINDS})),
 e AS (SELECT a, b FROM e0 WHERE a <> b AND a IS NOT NULL AND b IS NOT NULL UNION SELECT b, a FROM e0 WHERE a <> b AND a IS NOT NULL AND b IS NOT NULL),
 t AS (SELECT a AS x, a AS y FROM e UNION SELECT t.x, e.b FROM t JOIN e ON t.y = e.a),
-c AS (SELECT x, min(y) AS c FROM t GROUP BY 1),
+c AS (SELECT x, min(y) AS c FROM t GROUP BY 1),"""
+
+SQL = {
+    "p2_found": _GRAPH + f"""
 d AS (SELECT DISTINCT doc_id, coalesce(c.c, 'D' || {_KEY.format('doc_id')}) AS c FROM docs LEFT JOIN c ON c.x = 'D' || {_KEY.format('doc_id')} WHERE {_KEY.format('doc_id')} <> ''),
 g AS (SELECT c, min(doc_id) AS group_doc_id FROM d GROUP BY 1 HAVING count(DISTINCT {_KEY.format('doc_id')}) > 1)
 SELECT DISTINCT d.doc_id, g.group_doc_id FROM d JOIN g USING (c)""",
+    "p2_trees": _GRAPH + f"""
+k AS (SELECT 'D' || {_KEY.format('doc_id')} AS node, min(doc_id) AS doc_id FROM docs GROUP BY 1)
+SELECT min(x) AS first_node, min(k.doc_id) AS first_doc_id, count(*) AS n_nodes, count(*) - 1 AS n_edges FROM c LEFT JOIN k ON k.node = c.x GROUP BY c.c""",
+    "p2_together": _GRAPH + f"""
+k AS (SELECT doc_id, 'D' || {_KEY.format('doc_id')} AS node, true AS indexed FROM docs UNION ALL SELECT doc_id, 'D' || {_KEY.format('doc_id')}, false FROM train),
+g AS (SELECT k.*, coalesce(c.c, k.node) AS root FROM k LEFT JOIN c ON c.x = k.node WHERE k.node <> 'D')
+SELECT min(doc_id) FILTER (indexed) AS group_doc_id, count(DISTINCT node) FILTER (indexed) AS n_docs, count(*) AS n_rows, 1::BIGINT AS n_splits FROM g GROUP BY root HAVING bool_or(indexed)""",
     "p3_found": f"""
 WITH {_similar("SELECT DISTINCT id AS key, prompt AS text, CASE WHEN split = 'train' THEN 0 ELSE 1 END AS space FROM train WHERE split IN ('train', 'validation', 'test') AND id IS NOT NULL", "x.space = 0 AND y.space = 1")},
 h AS (SELECT DISTINCT id, sha256, split = 'train' AS t FROM train WHERE split IN ('train', 'validation', 'test') AND sha256 IS NOT NULL AND id IS NOT NULL),
