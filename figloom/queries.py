@@ -145,7 +145,7 @@ def _meta(spark, d):
 
 @query
 def xml_metadata(spark, d):
-    return _meta(spark, d).select("xml_path", "error", F.size("paragraphs").alias("n_paragraphs"), F.size("titles").alias("n_titles"), F.array_join("figure_nums", ",").alias("figure_nums"))
+    return _meta(spark, d).select("xml_path", F.col("error").isNull().alias("well_formed"), F.size("paragraphs").alias("n_paragraphs"), F.size("titles").alias("n_titles"), F.array_join("figure_nums", ",").alias("figure_nums"))
 
 
 @query
