@@ -28,6 +28,8 @@ AT_ONCE = 1 << 21
 ROWS = 1 << 18
 #: Key tables up to this size are broadcast, larger ones are joined by shuffle.
 BROADCAST_BYTES = 32 << 20
+#: Keys are cut to 40 bits: two that agree by chance make a run longer, and fewer bytes move.
+KEY_SHIFT = 24
 #: ``meta`` packs the size (28 bits), the place among the ordered shingles (28), and from below: in_index, home, side, group (2).
 _SIZE, _PLACE = 34, 6
 ENTRY = "k long, cls long, meta long, far float"
@@ -92,7 +94,7 @@ def split_hot(h: np.ndarray, cls: np.ndarray, count: np.ndarray, side: np.ndarra
 
 def batch_of(k: np.ndarray, cls: np.ndarray, size: np.ndarray, place: np.ndarray, in_index: np.ndarray, home: np.ndarray, side: np.ndarray, group: np.ndarray, far: np.ndarray) -> pa.RecordBatch:
     meta = (size.astype(np.int64) << _SIZE) | (place.astype(np.int64) << _PLACE) | (group.astype(np.int64) << 3) | (side.astype(np.int64) << 2) | (home.astype(np.int64) << 1) | in_index.astype(np.int64)
-    return pa.RecordBatch.from_arrays([int64(k), int64(cls), pa.array(meta), pa.array(far.astype(np.float32))], names=["k", "cls", "meta", "far"])
+    return pa.RecordBatch.from_arrays([int64(k >> np.uint64(KEY_SHIFT)), int64(cls), pa.array(meta), pa.array(far.astype(np.float32))], names=["k", "cls", "meta", "far"])
 
 
 def _ranges(key: np.ndarray, side: np.ndarray, size: np.ndarray, cross: bool, t: float) -> tuple[np.ndarray, np.ndarray]:
@@ -168,10 +170,16 @@ def candidates(entries: DataFrame, t: float = THRESHOLD, cross: bool = False) ->
     return each.where((F.col("n") >= F.least(F.lit(MEETINGS), F.col("need"))) & (F.col("n") - 1 + F.col("room") >= F.col("need"))).select("x", "y")
 
 
+def named_classes(pairs: DataFrame) -> DataFrame:
+    """cls of every class that ``pairs`` (x, y) names, written."""
+    return written(pairs.select(F.col("x").alias("cls")).unionAll(pairs.select("y")).distinct(), "named")
+
+
 def by_signature(pairs: DataFrame, scanned: DataFrame, t: float = THRESHOLD) -> DataFrame:
-    """The pairs whose overlap can still reach the threshold by their parity signatures."""
+    """Of written ``pairs`` those whose overlap can still reach the threshold by their parity signatures. Only named classes' signatures move."""
     lanes = S.SIGNATURE_LANES
-    sigs = scanned.where("sig IS NOT NULL").select("cls", "size", *[F.col("sig")[k].alias(f"s{k}") for k in range(lanes)]).dropDuplicates(["cls"])
+    held = by_keys(scanned.where("sig IS NOT NULL"), named_classes(pairs), ["cls"])
+    sigs = held.select("cls", "size", *[F.col("sig")[k].alias(f"s{k}") for k in range(lanes)]).dropDuplicates(["cls"])
     a, b = (sigs.select(F.col("cls").alias(c), F.col("size").alias(f"n{c}"), *[F.col(f"s{k}").alias(f"s{c}{k}") for k in range(lanes)]) for c in "xy")
     both = pairs.join(a, "x").join(b, "y")
     differ = sum((F.bit_count(F.col(f"sx{k}").bitwiseXOR(F.col(f"sy{k}"))) for k in range(lanes)), F.lit(0))
@@ -180,6 +188,5 @@ def by_signature(pairs: DataFrame, scanned: DataFrame, t: float = THRESHOLD) ->
 
 def texts_of(pairs: DataFrame, members: DataFrame, rows: DataFrame) -> DataFrame:
     """cls, text of every class that ``pairs`` (x, y) names: the text of its first member."""
-    needed = pairs.select(F.col("x").alias("cls")).unionAll(pairs.select("y")).distinct()
-    picks = written(members.join(needed, "cls", "left_semi").groupBy("space", "cls").agg(F.min(F.struct("key", "tid")).alias("k")).select("space", "cls", "k.key", "k.tid"), "picks")
+    picks = written(by_keys(members, named_classes(pairs), ["cls"]).groupBy("space", "cls").agg(F.min(F.struct("key", "tid")).alias("k")).select("space", "cls", "k.key", "k.tid"), "picks")
     return by_keys(rows.withColumn("tid", F.xxhash64("text")), picks, ["space", "key", "tid"]).groupBy("cls").agg(F.first("text", ignorenulls=True).alias("text"))

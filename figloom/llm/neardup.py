@@ -178,7 +178,8 @@ def near_duplicates(rows: DataFrame, t: float = THRESHOLD) -> tuple[DataFrame, D
     rank = spark.sparkContext.broadcast(rarity(scanned, bits).reshape(-1))
     members = scanned.where("cls IS NOT NULL").select("space", "key", "tid", "cls", "n_words")
     pivots = spark.sparkContext.broadcast(pivots_of(rows, members))
-    pairs = written(M.by_signature(M.candidates(cell_entries(rows, rank, pivots, bits, t), t), scanned, t), "pairs")
+    pairs = written(M.candidates(cell_entries(rows, rank, pivots, bits, t), t), "candidates")
+    pairs = written(M.by_signature(pairs, scanned, t), "pairs")
     links = written(verified(pairs, M.texts_of(pairs, members, rows), t), "links")
     drop(pairs)
     return members, links

@@ -186,7 +186,7 @@ def overlaps(rows: DataFrame, t: float = M.THRESHOLD) -> tuple[DataFrame, DataFr
     bits = table_bits(rows)
     scanned = written(scan(rows, bits, 2), "scan")
     members = scanned.where("cls IS NOT NULL").select("space", "key", "tid", "cls", "n_words")
-    pairs = M.candidates(meeting_suffixes(rows, rarity(scanned, bits, 2), bits, t), t, cross=True)
+    pairs = written(M.candidates(meeting_suffixes(rows, rarity(scanned, bits, 2), bits, t), t, cross=True), "candidates")
     pairs = written(M.by_signature(pairs, scanned, t), "pairs")
     found = written(compared(partitions(pairs, M.texts_of(pairs, members, rows))), "compared")
     drop(pairs)

@@ -3,7 +3,7 @@
 Texts with the same word sequence are one class. Shingles are counted over all classes in a table
 of hash cells, a table per side. The counts order the shingles and tell which ones are hot;
 a collision makes a shingle seem more frequent, which costs time and never a pair. The table has
-about a cell per shingle of the data, at most 2**MOST_BITS: beyond that it still sets frequent
+about a cell for every second shingle of the data, at most 2**MOST_BITS: beyond that it still sets frequent
 shingles apart from others, but rare ones no longer from each other.
 """
 
@@ -22,8 +22,8 @@ LEAST_BITS, MOST_BITS = 16, 25
 #: A merged cell holds 0, 1, or for larger counts 2 and STEPS for each doubling of the count.
 STEPS = 12
 BLOCK_BITS = 16
-#: Characters per shingle by which the table's size is told from the length of all texts.
-CHARS = 7
+#: Characters per cell by which the table's size is told from the length of all texts.
+CHARS = 14
 SCAN = ["space", "key", "tid", "cls", "n_words", "size", "sig", "block", "cells"]
 _KINDS = "space int, key string, tid long, cls long, n_words int, size int, sig array<long>, block int, cells binary"
 
