@@ -23,13 +23,7 @@ _FIGURE = re.compile(V.FIGURE, re.I)
 _NUMBER = re.compile(r"^0*([0-9]{1,4})([A-Z]{0,2})(?:-0*([0-9]{1,4})([A-Z]{0,2}))?$")
 
 
-def _relation(label: str, before: str, stem: str, endings: str, after: str) -> tuple[str, str, re.Pattern]:
-    rx = stem + (f"(?:{endings})?" if endings else "")
-    rx = (rf"{before}\s+" if before else "") + rx + (rf"\s+(?:{after})" if after else "")
-    return label, stem, re.compile(rf"\b{rx}\b", re.I)
-
-
-_RELATIONS = [_relation(*r) for r in V.RELATIONS]
+_RELATIONS = [(label, stem, re.compile(rx, re.I)) for label, stem, rx in V.RELATIONS]
 _PHRASES = re.compile("|".join(rf"\b{p}\b" for p in V.RELATION_PHRASES), re.I)
 
 

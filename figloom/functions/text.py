@@ -127,3 +127,28 @@ def letterbox(width: Column, height: Column, canvas: int = 2048) -> Column:
         F.floor((canvas - w) / 2).cast("int").alias("offset_x"), F.floor((canvas - h) / 2).cast("int").alias("offset_y"), scale.alias("scale"), F.lit(canvas).alias("canvas_size"),
     )
     return F.when((width > 0) & (height > 0), made)
+
+
+def figure_refs(texts: Column) -> Column:
+    """Of each text the canonical figure numbers it names."""
+    return F.transform(texts, lambda t: F.filter(F.transform(F.regexp_extract_all(t, F.lit("(?i)" + V.FIGURE), 1), figure_number), lambda x: x != ""))
+
+
+def figure_text(paragraphs: Column, refs: Column, captions: Column, number: Column) -> Column:
+    """The paragraphs on one figure: from the first that refers to it to the next that refers to others only, two at least.
+
+    ``refs``: ``figure_refs`` of the paragraphs. Neither list has blank items. Without any mention: the first two
+    paragraphs; without paragraphs the first two captions.
+    """
+    squeezed = F.transform(paragraphs, lambda p: F.regexp_replace(F.upper(p), r"[ .,\-]", ""))
+    flat = F.replace(number, F.lit("-"), F.lit(""))
+    named = F.array_position(F.transform(refs, lambda r: F.array_contains(r, number)), F.lit(True))
+    spelled = F.array_position(F.transform(squeezed, lambda p: p.contains("FIG") & p.contains(flat)), F.lit(True))
+    start = F.when(named > 0, named).otherwise(spelled).cast("int")
+    other = F.transform(refs, lambda r, i: (i >= start) & (F.size(r) > 0) & ~F.array_contains(r, number))
+    stop = F.array_position(other, F.lit(True))
+    n = F.when(stop > 0, stop - start).otherwise(F.size(paragraphs) - start + 1).cast("int")
+    two = (n == 1) & (start < F.size(paragraphs)) & (F.get(paragraphs, start) != F.get(paragraphs, start - 1))
+    chosen = F.slice(paragraphs, start, F.when(two, F.lit(2)).otherwise(n))
+    first_two = lambda x: F.array_join(F.slice(x, 1, 2), " ")
+    return F.when(F.size(paragraphs) == 0, first_two(captions)).when((start > 0) & (F.length(number) > 0), F.array_join(chosen, " ")).otherwise(first_two(paragraphs))

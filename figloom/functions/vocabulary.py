@@ -35,35 +35,61 @@ transmit receiv process calculat determin select control regulat modulat adjust
 disengag activat deactivat illustrat depict correspond represent show plurality number various several multiple different diverse assorted
 distinct varied variegated utiliz employ implement execut perform oper function""".split()
 
-#: Relations in order: canonical label, words before, stem, endings, words after (all alternatives).
+#: Relations in order: canonical label, its stem, its pattern (case-blind).
 RELATIONS = [
-    ("connected to", "", "connect", "ed|s|ing", "to|with"), ("connected with", "", "connect", "ed|s|ing", "with"),
-    ("coupled to", "", "coupl", "ed|es|ing", "to|with"), ("coupled with", "", "coupl", "ed|es|ing", "with"),
-    ("attached to", "", "attach", "ed|es|ing", "to|with|on"), ("mounted to", "", "mount", "ed|s|ing", "to|on|over|above"),
-    ("joined to", "", "join", "ed|s|ing", "to|with"), ("linked to", "", "link", "ed|s|ing", "to|with"),
-    ("engaged with", "", "engag", "ed|es|ing", "with|to"), ("supported by", "", "support", "ed|s|ing", "by|on|upon"),
-    ("communicates with", "", "communicat", "es|ed|ing", "with|to"), ("in communication with", "in", "communication", "", "with|to"),
-    ("in fluid communication with", r"in\s+fluid", "communication", "", "with|to"), ("fluidly connected to", "fluid(?:ly)?", "connect", "ed|s|ing", "to|with"),
-    ("electrically connected to", "electrical(?:ly)?", "connect", "ed|s|ing", "to|with"), ("in electrical communication with", r"in\s+electrical", "communication", "", "with|to"),
-    ("interfaces with", "", "interface", "s|d|ing", "with|to"), ("between", "", "between", "", ""), ("extends between", "", "extend", "s|ed|ing", "between"),
-    ("within", "", "within", "", ""), ("inside", "", "inside", "", ""), ("outside", "", "outside", "", ""), ("adjacent to", "", "adjacent", "", "to|with"),
-    ("above", "", "above", "", ""), ("below", "", "below", "", ""),
-    ("disposed on", "", "dispos", "ed|es|ing", "on|over|upon"), ("disposed in", "", "dispos", "ed|es|ing", "in|within|inside"),
-    ("disposed between", "", "dispos", "ed|es|ing", "between"), ("disposed adjacent to", "", "dispos", "ed|es|ing", r"adjacent\s+(?:to|with)"),
-    ("positioned on", "", "position", "ed|s|ing", "on|over|upon"), ("positioned in", "", "position", "ed|s|ing", "in|within|inside"),
-    ("positioned between", "", "position", "ed|s|ing", "between"),
-    ("located on", "", "locat", "ed|es|ing", "on|over|upon"), ("located in", "", "locat", "ed|es|ing", "in|within|inside"), ("located near", "", "locat", "ed|es|ing", "near"),
-    ("extends from", "", "extend", "s|ed|ing", "from"), ("extends to", "", "extend", "s|ed|ing", "to"), ("extends over", "", "extend", "s|ed|ing", "over"),
-    ("extends about", "", "extend", "s|ed|ing", "about"), ("extends through", "", "extend", "s|ed|ing", "through"),
-    ("secured to", "", "secur", "ed|es|ing", "to"), ("defined by", "", "defin", "ed|es|ing", "by"),
-]
+    ("connected to", "connect", r"\bconnect(?:ed|s|ing)?\s+(?:to|with)\b"),
+    ("connected with", "connect", r"\bconnect(?:ed|s|ing)?\s+(?:with)\b"),
+    ("coupled to", "coupl", r"\bcoupl(?:ed|es|ing)?\s+(?:to|with)\b"),
+    ("coupled with", "coupl", r"\bcoupl(?:ed|es|ing)?\s+(?:with)\b"),
+    ("attached to", "attach", r"\battach(?:ed|es|ing)?\s+(?:to|with|on)\b"),
+    ("mounted to", "mount", r"\bmount(?:ed|s|ing)?\s+(?:to|on|over|above)\b"),
+    ("joined to", "join", r"\bjoin(?:ed|s|ing)?\s+(?:to|with)\b"),
+    ("linked to", "link", r"\blink(?:ed|s|ing)?\s+(?:to|with)\b"),
+    ("engaged with", "engag", r"\bengag(?:ed|es|ing)?\s+(?:with|to)\b"),
+    ("supported by", "support", r"\bsupport(?:ed|s|ing)?\s+(?:by|on|upon)\b"),
+    ("communicates with", "communicat", r"\bcommunicat(?:es|ed|ing)?\s+(?:with|to)\b"),
+    ("in communication with", "communication", r"\bin\s+communication\s+(?:with|to)\b"),
+    ("in fluid communication with", "communication", r"\bin\s+fluid\s+communication\s+(?:with|to)\b"),
+    ("fluidly connected to", "connect", r"\bfluid(?:ly)?\s+connect(?:ed|s|ing)?\s+(?:to|with)\b"),
+    ("electrically connected to", "connect", r"\belectrical(?:ly)?\s+connect(?:ed|s|ing)?\s+(?:to|with)\b"),
+    ("in electrical communication with", "communication", r"\bin\s+electrical\s+communication\s+(?:with|to)\b"),
+    ("interfaces with", "interface", r"\binterface(?:s|d|ing)?\s+(?:with|to)\b"),
+    ("between", "between", r"\bbetween\b"),
+    ("extends between", "extend", r"\bextend(?:s|ed|ing)?\s+(?:between)\b"),
+    ("within", "within", r"\bwithin\b"),
+    ("inside", "inside", r"\binside\b"),
+    ("outside", "outside", r"\boutside\b"),
+    ("adjacent to", "adjacent", r"\badjacent\s+(?:to|with)\b"),
+    ("above", "above", r"\babove\b"),
+    ("below", "below", r"\bbelow\b"),
+    ("disposed on", "dispos", r"\bdispos(?:ed|es|ing)?\s+(?:on|over|upon)\b"),
+    ("disposed in", "dispos", r"\bdispos(?:ed|es|ing)?\s+(?:in|within|inside)\b"),
+    ("disposed between", "dispos", r"\bdispos(?:ed|es|ing)?\s+(?:between)\b"),
+    ("disposed adjacent to", "dispos", r"\bdispos(?:ed|es|ing)?\s+(?:adjacent\s+(?:to|with))\b"),
+    ("positioned on", "position", r"\bposition(?:ed|s|ing)?\s+(?:on|over|upon)\b"),
+    ("positioned in", "position", r"\bposition(?:ed|s|ing)?\s+(?:in|within|inside)\b"),
+    ("positioned between", "position", r"\bposition(?:ed|s|ing)?\s+(?:between)\b"),
+    ("located on", "locat", r"\blocat(?:ed|es|ing)?\s+(?:on|over|upon)\b"),
+    ("located in", "locat", r"\blocat(?:ed|es|ing)?\s+(?:in|within|inside)\b"),
+    ("located near", "locat", r"\blocat(?:ed|es|ing)?\s+(?:near)\b"),
+    ("extends from", "extend", r"\bextend(?:s|ed|ing)?\s+(?:from)\b"),
+    ("extends to", "extend", r"\bextend(?:s|ed|ing)?\s+(?:to)\b"),
+    ("extends over", "extend", r"\bextend(?:s|ed|ing)?\s+(?:over)\b"),
+    ("extends about", "extend", r"\bextend(?:s|ed|ing)?\s+(?:about)\b"),
+    ("extends through", "extend", r"\bextend(?:s|ed|ing)?\s+(?:through)\b"),
+    ("secured to", "secur", r"\bsecur(?:ed|es|ing)?\s+(?:to)\b"),
+    ("defined by", "defin", r"\bdefin(?:ed|es|ing)?\s+(?:by)\b"),
+]
 
 #: Bare phrases, looked for when no relation has a side.
-RELATION_PHRASES = """connected to|connected with|coupled to|coupled with|attached to|mounted to|joined to|linked to|engaged with|supported by|supported on
-in communication with|communicates with|fluidly connected to|in fluid communication with|electrically connected to|in electrical communication with
-interfaces with|between|extends between|within|inside|outside|adjacent to|above|below|disposed on|disposed in|disposed over|disposed between
-disposed adjacent to|positioned in|positioned on|positioned over|positioned inside|positioned between|located in|located on|located near|extends from
-extends to|extends over|extends about|extends through|secured to|operably coupled to""".replace("\n", "|").split("|")
+RELATION_PHRASES = [
+    "connected to", "connected with", "coupled to", "coupled with", "attached to", "mounted to", "joined to", "linked to", "engaged with", "supported by",
+    "supported on", "in communication with", "communicates with", "fluidly connected to", "in fluid communication with", "electrically connected to",
+    "in electrical communication with", "interfaces with", "between", "extends between", "within", "inside", "outside", "adjacent to", "above", "below",
+    "disposed on", "disposed in", "disposed over", "disposed between", "disposed adjacent to", "positioned in", "positioned on", "positioned over",
+    "positioned inside", "positioned between", "located in", "located on", "located near", "extends from", "extends to", "extends over", "extends about",
+    "extends through", "secured to", "operably coupled to",
+]
 
 RELATION_STOPS = set("the a an and or of to with in on at by for is are was were be been being that this these those".split())
 RELATION_BOUNDS = set("""connect connected connection connections connecting couple coupled couples coupling attach attached attaches attaching

@@ -110,22 +110,49 @@ def context_labels(spark, d):
     return _sections(spark, d).select("doc_id", "section", P.label_phrases(X.clean(F.col("content")), F.lit(None).cast("string")).alias("labels"))
 
 
-def _figure_texts(spark, d):
-    """Figures with a number, each with its document's paragraphs, captions and claims (the longest of repeated sections)."""
-    text = _sections(spark, d).groupBy("doc_id").pivot("section", ["caption", "paragraph", "claim"]).agg(F.max(F.struct(F.length("content"), "content"))["content"])
-    figures = store.latest(table(spark, d, "figures"), ["id"], [F.col("recorded_at")]).withColumn("doc_id", document_key(F.col("doc_id")))
-    numbered = figures.withColumn("fig_num", X.label_number(F.col("fig_label"))).where("fig_num IS NOT NULL")
-    return numbered.join(text, "doc_id").withColumn("fig_text", P.text_of_figure(_lines(F.col("paragraph")), _lines(F.col("caption")), F.col("fig_num")))
+def _document_lines(spark, d):
+    """Per document key: the lines of its paragraphs with the figures they name, those of its captions, and its claims.
+
+    Repeated sections are taken together in order of their content; nothing is left out.
+    """
+    s = _sections(spark, d).select(document_key(F.col("doc_id")).alias("doc_key"), "section", "content").where("doc_key IS NOT NULL AND content IS NOT NULL").distinct()
+    ordered = lambda name: F.sort_array(F.collect_list(F.when(F.col("section") == name, F.col("content"))))
+    by = s.groupBy("doc_key").agg(*[ordered(n).alias(n) for n in ("paragraph", "caption", "claim")])
+    lines = by.select("doc_key", *[F.flatten(F.transform(n, _lines)).alias(n) for n in ("paragraph", "caption")], F.array_join(F.filter("claim", lambda c: F.trim(c) != ""), " ").alias("claims"))
+    return lines.withColumn("refs", X.figure_refs(F.col("paragraph")))
+
+
+def _figures(spark, d):
+    """The last row of each figure that has a number."""
+    figures = store.latest(table(spark, d, "figures"), ["id"], [F.col("recorded_at")])
+    return figures.select("id", document_key(F.col("doc_id")).alias("doc_key"), "fig_label", X.label_number(F.col("fig_label")).alias("fig_num")).where("fig_num IS NOT NULL")
+
+
+def _figure_texts(spark, d, figures, *more):
+    """doc_key, fig_num, fig_text, claims and ``more`` of the distinct figures of each document; a document without text gives the empty text.
+
+    A document's text meets the list of its figures once, and only what was chosen for a figure goes on.
+    """
+    none = F.array().cast("array<string>")
+    asked = figures.where("doc_key IS NOT NULL").groupBy("doc_key").agg(F.collect_set(F.struct("fig_num", *more)).alias("asked"))
+    met = asked.join(_document_lines(spark, d), "doc_key", "left").select("doc_key", "paragraph", "refs", "caption", "claims", F.inline("asked"))
+    chosen = X.figure_text(F.coalesce("paragraph", none), F.coalesce("refs", F.array().cast("array<array<string>>")), F.coalesce("caption", none), F.col("fig_num"))
+    return met.select("doc_key", "fig_num", *more, chosen.alias("fig_text"), "claims")
 
 
 @query
 def figure_text(spark, d):
-    return _figure_texts(spark, d).select("id", "fig_num", "fig_text")
+    """Figures with a number and a document key, with their text."""
+    figures = _figures(spark, d)
+    return figures.join(_figure_texts(spark, d, figures), ["doc_key", "fig_num"]).select("id", "fig_num", "fig_text")
 
 
 @query
 def prompt_row(spark, d):
-    return pipeline.with_prompt(_figure_texts(spark, d), claims="claim").select("id", "prompt")
+    """The prompt of each figure; made once per document, number and label."""
+    figures = _figures(spark, d)
+    prompts = pipeline.with_prompt(spread(_figure_texts(spark, d, figures, "fig_label")), claims="claims").select("doc_key", "fig_num", "fig_label", "prompt")
+    return figures.join(prompts, ["doc_key", "fig_num", "fig_label"]).select("id", "prompt")
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from figloom import oracle, oracle_xml, p_general, queries as own
+from figloom import oracle, oracle_text, oracle_xml, p_general, queries as own
 
 
 def queries() -> dict:
@@ -10,4 +10,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.SQL | oracle_xml.SQL
+    return oracle.SQL | oracle_xml.SQL | oracle_text.SQL
