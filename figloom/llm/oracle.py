@@ -21,6 +21,11 @@ c AS (SELECT x.n AS a, y.n AS b, count(*) AS c FROM e x JOIN e y ON x.g = y.g AN
 sim AS (SELECT a, b FROM c JOIN s x ON x.n = a JOIN s y ON y.n = b WHERE c >= 0.6 * (len(x.s) + len(y.s) - c))"""
 
 
+#: Prompts by side, and the texts of problem 5 by space.
+_ROWS = "SELECT DISTINCT id AS key, prompt AS text, CASE WHEN split = 'train' THEN 0 ELSE 1 END AS space FROM train WHERE split IN ('train', 'validation', 'test') AND id IS NOT NULL"
+_PROMPTS = _similar(_ROWS, "x.space = 0 AND y.space = 1")
+_EDITED = "SELECT DISTINCT id AS key, prompt AS text, 'prompt' AS space FROM train WHERE id IS NOT NULL UNION SELECT doc_id || ':' || section, content, section FROM text_fts WHERE section IN ('paragraph', 'claim') AND doc_id IS NOT NULL"
+
 _GRAPH = f"""
 WITH RECURSIVE e0 AS (
   SELECT 'D' || {_KEY.format('doc_id')} AS a, 'F' || {_BARE} AS b FROM docs WHERE regexp_full_match({_BARE}, 'F[0-9]+')
@@ -42,14 +47,47 @@ k AS (SELECT doc_id, 'D' || {_KEY.format('doc_id')} AS node, true AS indexed FRO
 g AS (SELECT k.*, coalesce(c.c, k.node) AS root FROM k LEFT JOIN c ON c.x = k.node WHERE k.node <> 'D')
 SELECT min(doc_id) FILTER (indexed) AS group_doc_id, count(DISTINCT node) FILTER (indexed) AS n_docs, count(*) AS n_rows, 1::BIGINT AS n_splits FROM g GROUP BY root HAVING bool_or(indexed)""",
     "p3_found": f"""
-WITH {_similar("SELECT DISTINCT id AS key, prompt AS text, CASE WHEN split = 'train' THEN 0 ELSE 1 END AS space FROM train WHERE split IN ('train', 'validation', 'test') AND id IS NOT NULL", "x.space = 0 AND y.space = 1")},
+WITH {_PROMPTS},
 h AS (SELECT DISTINCT id, sha256, split = 'train' AS t FROM train WHERE split IN ('train', 'validation', 'test') AND sha256 IS NOT NULL AND id IS NOT NULL),
 p AS (SELECT x.key AS a, y.key AS b FROM sim JOIN r x ON x.n = a JOIN r y ON y.n = b UNION SELECT x.id, y.id FROM h x JOIN h y ON x.sha256 = y.sha256 AND x.t AND NOT y.t)
 SELECT DISTINCT least(a, b) AS id_a, greatest(a, b) AS id_b FROM p WHERE a <> b""",
     "p5_found": f"""
-WITH {_similar("SELECT DISTINCT id AS key, prompt AS text, 'prompt' AS space FROM train WHERE id IS NOT NULL UNION SELECT doc_id || ':' || section, content, section FROM text_fts WHERE section IN ('paragraph', 'claim') AND doc_id IS NOT NULL", "x.space = y.space AND x.n < y.n")}
+WITH {_similar(_EDITED, "x.space = y.space AND x.n < y.n")}
 SELECT DISTINCT CASE WHEN x.space = 'prompt' THEN 'prompt' ELSE 'content' END AS field, least(x.key, y.key) AS key_a, greatest(x.key, y.key) AS key_b
 FROM sim JOIN r x ON x.n = a JOIN r y ON y.n = b WHERE x.key <> y.key""",
+    "p3_report": f"""
+WITH {_PROMPTS},
+t AS (SELECT DISTINCT id, split, space FROM (SELECT id, split, CASE WHEN split = 'train' THEN 0 ELSE 1 END AS space FROM train WHERE split IN ('train', 'validation', 'test'))),
+h AS (SELECT DISTINCT y.id FROM train x JOIN train y ON x.sha256 = y.sha256 AND x.split = 'train' AND y.split IN ('validation', 'test') AND x.id <> y.id),
+p AS (SELECT DISTINCT y.key AS id FROM sim JOIN r x ON x.n = a JOIN r y ON y.n = b WHERE x.key <> y.key)
+SELECT split, source, count(*) AS n_rows, count(*) FILTER (id IN (FROM h)) AS n_hash, count(*) FILTER (id IN (FROM p)) AS n_text, count(*) FILTER (id IN (FROM h) OR id IN (FROM p)) AS n_either
+FROM train WHERE split IN ('validation', 'test') GROUP BY 1, 2""",
+    "p3_classes": f"""
+WITH {_PROMPTS},
+cl AS MATERIALIZED (SELECT n, r.space, key, array_to_string(w.w, ' ') AS c FROM r JOIN w USING (n) WHERE len(w.w) >= 30),
+g AS (SELECT space, c, min(key) AS class_id FROM cl GROUP BY 1, 2),
+l AS (SELECT space, c, count(DISTINCT o) AS n_links FROM (SELECT x.space, x.c, y.c AS o FROM sim JOIN cl x ON x.n = a JOIN cl y ON y.n = b UNION ALL SELECT y.space, y.c, x.c FROM sim JOIN cl x ON x.n = a JOIN cl y ON y.n = b) GROUP BY 1, 2)
+SELECT DISTINCT key AS id, CASE WHEN cl.space = 0 THEN 'train' ELSE 'evaluation' END AS side, class_id, coalesce(n_links, 0) AS n_links FROM cl JOIN g USING (space, c) LEFT JOIN l USING (space, c)""",
+    "p3_coverage": f"""
+WITH r AS MATERIALIZED (SELECT *, row_number() OVER () AS n FROM ({_ROWS})),
+w AS MATERIALIZED (SELECT n, space, key, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM r),
+g AS MATERIALIZED (SELECT n, space, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g, unnest(range(1, len(w) - 1)) AS p FROM w WHERE len(w) >= 30),
+runs AS (SELECT n, o, p, d, row_number() OVER (PARTITION BY n, o, d ORDER BY p) AS rn FROM (SELECT x.n, y.n AS o, x.p, x.p - y.p AS d FROM g x JOIN g y ON x.g = y.g AND x.space = 1 AND y.space = 0)),
+spans AS (SELECT n, min(p) AS a, max(p) + 2 AS b FROM runs GROUP BY n, o, d, p - rn),
+best AS (SELECT n, max(b - a + 1)::INT AS longest FROM spans GROUP BY 1),
+places AS (SELECT DISTINCT n, unnest(range(a, b + 1)) AS k FROM spans),
+cov AS (SELECT n, count(*) AS k FROM places GROUP BY 1)
+SELECT DISTINCT w.key AS id, coalesce(round(cov.k / len(w.w), 4), 0.0)::DOUBLE AS covered, coalesce(longest, 0) AS longest FROM w LEFT JOIN best USING (n) LEFT JOIN cov USING (n) WHERE space = 1 AND len(w.w) >= 30""",
+    "p5_groups": f"""
+WITH RECURSIVE {_similar(_EDITED, "x.space = y.space AND x.n < y.n")},
+cl AS MATERIALIZED (SELECT n, r.space, key, array_to_string(w.w, ' ') AS c FROM r JOIN w USING (n) WHERE len(w.w) >= 30),
+lk AS MATERIALIZED (SELECT DISTINCT x.space, x.c AS a, y.c AS b FROM sim JOIN cl x ON x.n = a JOIN cl y ON y.n = b WHERE x.c <> y.c UNION SELECT DISTINCT x.space, y.c, x.c FROM sim JOIN cl x ON x.n = a JOIN cl y ON y.n = b WHERE x.c <> y.c),
+k AS MATERIALIZED (SELECT space, c, min(key) AS class_key FROM cl GROUP BY 1, 2),
+t AS (SELECT space, a AS x, a AS y FROM lk UNION SELECT t.space, t.x, lk.b FROM t JOIN lk ON t.space = lk.space AND t.y = lk.a),
+g AS (SELECT t.space, x, min(k.class_key) AS group_key FROM t JOIN k ON k.space = t.space AND k.c = t.y GROUP BY 1, 2),
+l AS (SELECT space, a, count(*) AS n_links FROM lk GROUP BY 1, 2)
+SELECT DISTINCT cl.space AS field, key, class_key, coalesce(group_key, class_key) AS group_key, coalesce(n_links, 0) AS n_links
+FROM cl JOIN k ON k.space = cl.space AND k.c = cl.c LEFT JOIN g ON g.space = cl.space AND g.x = cl.c LEFT JOIN l ON l.space = cl.space AND l.a = cl.c""",
     "p7_found": """
 SELECT DISTINCT 'content' AS item_field, doc_id || ':' || section AS item_key FROM text_fts
 WHERE length(content) > (SELECT amount FROM size_limits WHERE setting = 'content_chars') AND doc_id || ':' || section IS NOT NULL

@@ -355,21 +355,22 @@ def _rows(spark: SparkSession, folder: str) -> DataFrame:
     return sides(table(spark, folder, "train")).select("space", F.col("id").alias("key"), F.col("prompt").alias("text")).where("key IS NOT NULL AND text IS NOT NULL")
 
 
-def _texts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    members, links, spans_ = overlaps(_rows(spark, folder))
-    return members.select("space", "key", "cls").distinct(), links, spans_
+def _linked(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(space, key, cls of the records of linked classes; the links)."""
+    members, links, _ = overlaps(_rows(spark, folder))
+    return M.by_keys(members.select("space", "key", "cls"), M.named_classes(links), ["cls"]).distinct(), links
 
 
 def _hashed(spark: SparkSession, folder: str) -> DataFrame:
-    """space, id, sha256 of the rows whose hash occurs on both sides."""
-    hashed = sides(table(spark, folder, "train")).where("sha256 IS NOT NULL AND id IS NOT NULL").select("sha256", "id", "space").distinct()
+    """space, id, sha256 of the rows whose hash occurs on both sides. Only the hashes move to find them."""
+    hashed = sides(table(spark, folder, "train")).where("sha256 IS NOT NULL AND id IS NOT NULL").select("sha256", "id", "space")
     two = hashed.groupBy("sha256").agg(F.min("space").alias("low"), F.max("space").alias("high")).where("low < high").select("sha256")
-    return hashed.join(two, "sha256", "left_semi")
+    return M.by_keys(hashed, written(two, "two_sided"), ["sha256"]).distinct()
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """Cross-split pairs with the same image or nearly the same prompt."""
-    own, links, _ = _texts(spark, folder)
+    own, links = _linked(spark, folder)
     a, b = (own.where(F.col("space") == s).select(F.col("cls").alias(c), F.col("key").alias(k)) for s, c, k in ((TRAIN, "x", "a"), (EVAL, "y", "b")))
     text = links.select("x", "y").join(a, "x").join(b, "y").select("a", "b")
     hashed = _hashed(spark, folder)
@@ -388,7 +389,7 @@ def p3_report(spark: SparkSession, folder: str) -> DataFrame:
 
     No pair of rows is made: of the training side only the smallest and greatest id per hash or class count.
     """
-    own, links, _ = _texts(spark, folder)
+    own, links = _linked(spark, folder)
     hashed = _hashed(spark, folder)
     other = (F.col("low") != F.col("id")) | (F.col("high") != F.col("id"))
     evals = hashed.where(F.col("space") == EVAL).select("sha256", "id")
@@ -403,10 +404,13 @@ def p3_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p3_classes(spark: SparkSession, folder: str) -> DataFrame:
-    """The form without pairs: every prompt of 30 words or more with its class of equal texts, its side, and the number of classes of the other side at 0.6 or more."""
-    own, links, _ = _texts(spark, folder)
+    """The form without pairs: every prompt of 30 words or more with its side, its class of equal texts (the smallest id), and the number of classes of the other side at 0.6 or more."""
+    members, links, _ = overlaps(_rows(spark, folder))
+    own = members.select("space", "key", "cls").distinct()
+    first = own.groupBy("cls").agg(F.min("key").alias("class_id"))
     degree = links.select(F.col("x").alias("cls")).unionAll(links.select("y")).groupBy("cls").agg(F.count(F.lit(1)).alias("n_links"))
-    return own.join(degree, "cls", "left").select(F.col("key").alias("id"), F.when(F.col("space") == TRAIN, "train").otherwise("evaluation").alias("side"), "cls", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    told = first.join(degree, "cls", "left")
+    return own.join(told, "cls").select(F.col("key").alias("id"), F.when(F.col("space") == TRAIN, "train").otherwise("evaluation").alias("side"), "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def p3_coverage(spark: SparkSession, folder: str) -> DataFrame:
