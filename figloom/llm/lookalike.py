@@ -18,11 +18,8 @@ NULL stays NULL. Empty text is the empty form.
 
 from __future__ import annotations
 
-import hashlib
 import unicodedata
-from collections.abc import Iterable, Iterator
 
-import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -97,7 +94,10 @@ def _forms(texts: list[str | None], fold_case: bool) -> list[str | None]:
 
 
 def with_form(df: DataFrame, text: str = "text", out: str = "form", fold_case: bool = False) -> DataFrame:
-    """``df`` with the column ``out``; other columns, also of clashing names, stay as they are."""
+    """``df`` with the column ``out``; other columns, also of clashing names, stay as they are.
+
+    Text of printable ASCII and line feeds is its own form: it is told natively and doesn't go to Python.
+    """
 
     @F.pandas_udf("string")
     def udf(s):
@@ -105,7 +105,9 @@ def with_form(df: DataFrame, text: str = "text", out: str = "form", fold_case: b
 
         return pd.Series(_forms(s.tolist(), fold_case), index=s.index, dtype=object)
 
-    return df.withColumn(out, udf(F.col(text)))
+    plain = F.col(text).rlike(r"\A[\n -~]*\z")
+    own = F.lower(F.col(text)) if fold_case else F.col(text)
+    return df.withColumn(out, F.when(plain, own).otherwise(udf(F.when(~plain, F.col(text)))))
 
 
 def look_keys(df: DataFrame, key: str, text: str, fold_case: bool = False) -> DataFrame:
@@ -113,20 +115,8 @@ def look_keys(df: DataFrame, key: str, text: str, fold_case: bool = False) -> Da
 
     Left out: NULL texts and texts with nothing visible (no form but blanks and line breaks).
     """
-    kind = dict(df.dtypes)[key]
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            done = {}
-            for t in set(texts):
-                if t is not None and (f := form(t, fold_case)).strip(" \n"):
-                    own = hashlib.md5(t.encode("utf-8", "surrogatepass")).hexdigest()
-                    done[t] = (own if f == t else hashlib.md5(f.encode("utf-8", "surrogatepass")).hexdigest(), own)
-            kept = [i for i, t in enumerate(texts) if t in done]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(kept, pa.int64())), *(pa.array([done[texts[i]][k] for i in kept], pa.string()) for k in range(2))], names=[key, "look", "own"])
-
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, look string, own string")
+    formed = with_form(df.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_text", "_form", fold_case)
+    return formed.where(F.trim(F.col("_form"), F.lit(" \n")) != "").select(F.col("_key").alias(key), F.md5("_form").alias("look"), F.md5("_text").alias("own"))
 
 
 def look_pairs(keys: DataFrame, key: str) -> DataFrame:

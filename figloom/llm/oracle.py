@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+from figloom.llm import lookalike as L
 from figloom.llm.forest import KINDS
 
 _KEY = "regexp_replace(upper({}), '[^A-Z0-9]', '', 'g')"
@@ -34,6 +37,45 @@ e AS (SELECT a, b FROM e0 WHERE a <> b AND a IS NOT NULL AND b IS NOT NULL UNION
 t AS (SELECT a AS x, a AS y FROM e UNION SELECT t.x, e.b FROM t JOIN e ON t.y = e.a),
 c AS (SELECT x, min(y) AS c FROM t GROUP BY 1),"""
 
+
+
+def _looks() -> dict[int, str]:
+    """Code point -> what it looks like, for those that change. A rule over the Unicode data."""
+    out = {}
+    for c in range(0x9, 0x30000):
+        ch = chr(c)
+        kind = unicodedata.category(ch)
+        if kind in ("Cs", "Co", "Cn"):
+            continue
+        if ch in L._BREAKS:
+            to = "\n"
+        elif kind == "Zs" or ch == "\t":
+            to = " "
+        elif kind in ("Cc", "Cf") or any(a <= c <= b for a, b in L._IGNORABLE):
+            to = ""
+        else:
+            tag = unicodedata.decomposition(ch).partition(" ")[0]
+            joined = tag in L._SAME_LOOK and not any(a <= c <= b for a, b in L._OWN_LOOK) and not unicodedata.decomposition(ch).startswith(tag + " 0020")
+            to = "".join(out.get(ord(x), x) for x in unicodedata.normalize("NFKD" if joined else "NFD", ch))
+            to = unicodedata.normalize("NFC", "".join(L._LETTERS.get(x, x) for x in to))
+        if to != ch and to != unicodedata.normalize("NFC", ch):
+            out[c] = to
+    return out
+
+
+_MAP = ", ".join(f"({c}, {' || '.join(f'chr({ord(x)})' for x in to) or chr(39) * 2})" for c, to in _looks().items())
+_PICTURE = r"'^[\p{So}\x{1F000}-\x{1FAFF}]$'"
+_JOINING = "'^[" + "".join(rf"\p{{{x}}}" for x in "Arabic Syriac Mongolian Devanagari Bengali Gurmukhi Gujarati Oriya Tamil Telugu Kannada Malayalam Sinhala Khmer".split()) + "]$'"
+#: Joiners and variation selectors that show, by the characters beside them.
+_KEPT = rf"""(ch = chr(8205) AND regexp_matches(after, {_PICTURE}) AND (regexp_matches(one, {_PICTURE}) OR regexp_matches(one, '^[\x{{FE0F}}\x{{1F3FB}}-\x{{1F3FF}}]$') AND regexp_matches(two, {_PICTURE}))
+  OR ch IN (chr(65038), chr(65039)) AND regexp_matches(one, {_PICTURE}) OR ch IN (chr(8204), chr(8205)) AND regexp_matches(one, {_JOINING}) AND regexp_matches(after, '^\p{{L}}$'))"""
+_FORMS = f"""
+looks(c, shown) AS (VALUES {_MAP}),
+chars_ AS (SELECT doc_id, unnest(l) AS ch, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, regexp_extract_all(replace(text, chr(13) || chr(10), chr(10)), '(?s).') AS l FROM documents WHERE text IS NOT NULL)),
+chars AS (SELECT *, lag(ch) OVER w AS one, lag(ch, 2) OVER w AS two, lead(ch) OVER w AS after FROM chars_ WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+shown AS (SELECT doc_id, nfc_normalize(string_agg(CASE WHEN {_KEPT} THEN ch ELSE coalesce(shown, ch) END, '' ORDER BY i)) AS form FROM chars LEFT JOIN looks ON c = unicode(ch) GROUP BY 1),
+forms AS MATERIALIZED (SELECT d.doc_id, text, CASE WHEN text IS NOT NULL THEN coalesce(form, '') END AS form FROM documents d LEFT JOIN shown USING (doc_id))"""
+
 SQL = {
     "p2_found": _GRAPH + f"""
 d AS (SELECT DISTINCT doc_id, coalesce(c.c, 'D' || {_KEY.format('doc_id')}) AS c FROM docs LEFT JOIN c ON c.x = 'D' || {_KEY.format('doc_id')} WHERE {_KEY.format('doc_id')} <> ''),
@@ -92,5 +134,17 @@ FROM cl JOIN k ON k.space = cl.space AND k.c = cl.c LEFT JOIN g ON g.space = cl.
 SELECT DISTINCT 'content' AS item_field, doc_id || ':' || section AS item_key FROM text_fts
 WHERE length(content) > (SELECT amount FROM size_limits WHERE setting = 'content_chars') AND doc_id || ':' || section IS NOT NULL
 UNION SELECT DISTINCT 'prompt', id FROM train WHERE length(prompt) > (SELECT amount FROM size_limits WHERE setting = 'prompt_chars') AND id IS NOT NULL""",
-    "p8_round_trip": "SELECT doc_id, true AS same FROM documents",
+    "p7_rejoined": """
+SELECT DISTINCT 'content' AS item_field, doc_id || ':' || section AS item_key, md5(content) AS rejoined, length(content)::INT AS n_chars FROM text_fts
+WHERE length(content) > (SELECT amount FROM size_limits WHERE setting = 'content_chars') AND doc_id || ':' || section IS NOT NULL
+UNION SELECT DISTINCT 'prompt', id, md5(prompt), length(prompt)::INT FROM train WHERE length(prompt) > (SELECT amount FROM size_limits WHERE setting = 'prompt_chars') AND id IS NOT NULL""",
+    "p8_round_trip": "SELECT doc_id, md5(coalesce(text, '')) AS decoded, strlen(coalesce(text, ''))::INT AS n_bytes FROM documents",
+    "p9_broken": "SELECT 'document' AS kind, doc_id AS number FROM documents WHERE false",
+    "p10_forms": f"WITH {_FORMS} SELECT doc_id, form FROM forms",
+    "p10_found": f"""WITH {_FORMS},
+s AS (SELECT * FROM forms WHERE trim(form, ' ' || chr(10)) <> '')
+SELECT DISTINCT x.doc_id AS doc_id_a, y.doc_id AS doc_id_b FROM s x JOIN s y ON x.form = y.form AND x.text <> y.text AND x.doc_id < y.doc_id""",
+    "p10_classes": f"""WITH {_FORMS},
+s AS (SELECT * FROM forms WHERE trim(form, ' ' || chr(10)) <> '')
+SELECT doc_id, class_doc_id, n_links FROM s JOIN (SELECT form, min(doc_id) AS class_doc_id, count(DISTINCT text) - 1 AS n_links FROM s GROUP BY 1) USING (form)""",
 }

@@ -5,8 +5,8 @@ a quantum of tokens in the target proportion; what a queue got too much or too l
 to the next window, on whatever partition that is. An item's window is therefore fixed by the
 tokens before it in its queue: ``floor(before / quantum)``, a running total over all partitions.
 Windows are then packed side by side, best fit with the largest first. Containers that stay
-under ``FULL`` are opened again and their items carried into the next round's windows, until one
-window holds all that is left.
+under ``FULL`` are opened again and their items carried into the next round's windows (of the same target
+proportions), until one window holds all that is left.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from figloom.operators.running import running_total
 from figloom.shared import written
@@ -55,7 +55,8 @@ def split_items(items: DataFrame, capacity: int) -> DataFrame:
 def windows(parts: DataFrame, capacity: int, window: int = WINDOW, shares: DataFrame | None = None) -> DataFrame:
     """Adds ``window_no``. ``shares`` (source, share): the target mixture, by default that of the parts themselves.
 
-    A source without a share keeps its own. A queue whose target is below its part of the corpus is
+    A source without a share keeps its own. What a window gave a queue more or less than its quantum is carried to
+    the next: the running total isn't started anew. A queue whose target is below its part of the corpus is
     served on in windows where the others have run out: nothing is left out.
     """
     sums = parts.groupBy("source").agg(F.sum("size").alias("_of_source"))
@@ -72,6 +73,26 @@ def windows(parts: DataFrame, capacity: int, window: int = WINDOW, shares: DataF
     return queued.join(sums, F.col("source").eqNullSafe(F.col("_src"))).withColumn("window_no", F.floor(F.col("before") / F.col("_quantum")).cast("long")).drop("_src", "_quantum", "before")
 
 
+def mixture(parts: DataFrame, capacity: int, shares: DataFrame, window: int = WINDOW) -> DataFrame:
+    """window_no, source, target, n_tokens, reached, carried, all_left of the windows of ``parts``.
+
+    target: the share wanted (scaled to 1 over the sources there are), reached: that of the window's tokens. carried: tokens
+    by which the queue is behind (or, below 0, ahead of) its target after the window. all_left: no queue has
+    run out before the window's end; where one has, the others fill the room and the target can't be reached.
+    """
+    known = parts.select("source").distinct().join(shares.select(F.col("source").alias("_s"), F.col("share").cast("double").alias("_share")), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    whole = Window.partitionBy(F.lit(1))  # a row per source
+    known = known.withColumn("target", F.col("_share") / F.sum("_share").over(whole)).select(F.col("source").alias("_src"), "target")
+    scaled = known.select(F.col("_src").alias("source"), F.col("target").alias("share"))
+    placed = windows(parts, capacity, window, scaled).groupBy("window_no", "source").agg(F.sum("size").alias("n_tokens"))
+    last = placed.groupBy("source").agg(F.max("window_no").alias("_last")).agg(F.min("_last").alias("_first_end"))
+    so_far = Window.partitionBy("source").orderBy("window_no")
+    total = Window.partitionBy("window_no")
+    found = placed.join(known, F.col("source").eqNullSafe(F.col("_src"))).drop("_src").withColumn("carried", F.col("target") * float(window * capacity) * (F.col("window_no") + 1) - F.sum("n_tokens").over(so_far))
+    found = found.withColumn("reached", F.col("n_tokens") / F.sum("n_tokens").over(total)).crossJoin(F.broadcast(last))  # one row
+    return found.select("window_no", "source", F.round("target", 6).alias("target"), "n_tokens", F.round("reached", 6).alias("reached"), F.round("carried").cast("long").alias("carried"), (F.col("window_no") < F.col("_first_end")).alias("all_left"))
+
+
 def pack(items: DataFrame, capacity: int, window: int = WINDOW, shares: DataFrame | None = None) -> DataFrame:
     """doc_id, source, part_no, start, size, container_id, place (first token's place in the container).
 
@@ -93,7 +114,7 @@ def pack(items: DataFrame, capacity: int, window: int = WINDOW, shares: DataFram
     first = items.where("n_tokens > 0").withColumn("source", F.col("source").cast("string"))
     left, done, round_no = split_items(first, capacity), [], 0
     while True:
-        placed = windows(left, capacity, window, shares if round_no == 0 else None)
+        placed = windows(left, capacity, window, shares)
         packed = written(placed.groupBy("window_no").applyInPandas(fill, schema), "packed").withColumn("round_no", F.lit(round_no))
         several = packed.select("window_no").distinct().limit(2).count() > 1
         if not several:

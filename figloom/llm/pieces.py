@@ -98,20 +98,21 @@ def cut(text: str, limit: int, overlap: int) -> list[tuple[int, int, int]]:
 
 
 def pieces(items: DataFrame, limit: int, overlap: int) -> DataFrame:
-    """item_field, item_key, piece_no (from 1), start, core_start, end, piece of the items longer than ``limit``.
+    """item_field, item_key, item_md5, piece_no (from 1), start, core_start, end, piece of the items longer than ``limit``.
 
-    ``items``: item_field, item_key, text (strings). NULL texts are no items, repeated rows count
+    ``items``: item_field, item_key, text (strings). item_md5 is the whole text's, and tells texts of one key apart. NULL texts are no items, repeated rows count
     once, a NULL key is kept. Lengths are code points; only the longer items reach Python.
     """
-    names = ["item_field", "item_key", "piece_no", "start", "core_start", "end", "piece"]
+    names = ["item_field", "item_key", "item_md5", "piece_no", "start", "core_start", "end", "piece"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for field, key, text in zip(*(b.column(i).to_pylist() for i in range(3))):
-                rows += [(field, key, i, s, c, e, text[s:e]) for i, (s, c, e) in enumerate(cut(text, limit, overlap), 1)]
-            kinds = [pa.string()] * 2 + [pa.int32()] * 4 + [pa.string()]
+            for field, key, own, text in zip(*(b.column(i).to_pylist() for i in range(4))):
+                rows += [(field, key, own, i, s, c, e, text[s:e]) for i, (s, c, e) in enumerate(cut(text, limit, overlap), 1)]
+            kinds = [pa.string()] * 3 + [pa.int32()] * 4 + [pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=names)
 
-    long = items.where(F.length("text") > limit).select("item_field", "item_key", "text").distinct()
-    return long.mapInArrow(run, "item_field string, item_key string, piece_no int, start int, core_start int, end int, piece string")
+    long = items.where(F.length("text") > limit).select("item_field", "item_key", F.md5("text").alias("item_md5"), "text")
+    once = long.dropDuplicates(["item_field", "item_key", "item_md5"])
+    return once.mapInArrow(run, "item_field string, item_key string, item_md5 string, piece_no int, start int, core_start int, end int, piece string")

@@ -144,6 +144,22 @@ def test_windows_hold_the_mixture(spark):
     assert first == {"a": 500, "b": 500} and got.count() == 2000
 
 
+def test_mixture_reaches_its_targets_and_carries_the_rest(spark):
+    rows = [(i, "a" if i % 4 else None, 7) for i in range(3000)]
+    parts = K.split_items(spark.createDataFrame(rows, "doc_id long, source string, n_tokens int"), 100)
+    shares = spark.createDataFrame([("a", 2.0), (None, 1.0), ("other", 5.0)], "source string, share double")
+    got = K.mixture(parts, 100, shares, 10).collect()
+    assert sum(r.n_tokens for r in got) == 21000 and {r.source for r in got} == {"a", None}
+    for r in got:
+        assert abs(r.target - (2 / 3 if r.source else 1 / 3)) < 1e-5
+        if r.all_left:
+            assert abs(r.reached - r.target) <= 2 * 7 / 1000 and abs(r.carried) <= 7
+    assert sum(r.all_left for r in got) >= 10
+    placed = K.pack(spark.createDataFrame(rows, "doc_id long, source string, n_tokens int"), 100, 10, shares)
+    assert placed.agg(F.sum("size")).first()[0] == 21000 and placed.select("container_id").distinct().count() <= 21000 / 98 * 1.01 + 1
+    assert K.mixture(parts.limit(0), 100, shares).count() == 0
+
+
 def test_no_items(spark):
     empty = spark.createDataFrame([], "doc_id long, source string, n_tokens int")
     assert K.pack(empty, 100).count() == 0
