@@ -55,6 +55,49 @@ def write_png(page: np.ndarray) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", page.shape[1], page.shape[0], 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
 
 
+def write_tiff(page: np.ndarray) -> bytes:
+    """A grey page as an uncompressed TIFF of one strip."""
+    h, w = page.shape
+    tags = [(256, 4, w), (257, 4, h), (258, 3, 8), (259, 3, 1), (262, 3, 1), (273, 4, 8), (277, 3, 1), (278, 4, h), (279, 4, w * h)]
+    body = page.astype(np.uint8).tobytes()
+    at = 8 + len(body) + len(body) % 2
+    entries = b"".join(struct.pack("<HHI", tag, kind, 1) + struct.pack("<I" if kind == 4 else "<HH", *((value,) if kind == 4 else (value, 0))) for tag, kind, value in tags)
+    return b"II*\0" + struct.pack("<I", at) + body + b"\0" * (len(body) % 2) + struct.pack("<H", len(tags)) + entries + struct.pack("<I", 0)
+
+
+def read_png(data: bytes) -> np.ndarray:
+    """A grey 8-bit PNG without interlace. Raises ValueError on anything else."""
+    if data[:8] != b"\x89PNG\r\n\x1a\n":
+        raise ValueError("not a PNG")
+    at, body = 8, b""
+    while at < len(data):
+        n, kind = struct.unpack(">I4s", data[at : at + 8])
+        part = data[at + 8 : at + 8 + n]
+        if kind == b"IHDR":
+            width, height, *form = struct.unpack(">IIBBBBB", part)
+            if form != [8, 0, 0, 0, 0]:
+                raise ValueError("only grey pages of 8 bits are read")
+        body += part if kind == b"IDAT" else b""
+        at += n + 12
+    rows = np.frombuffer(zlib.decompress(body), np.uint8).reshape(height, width + 1)
+    out = np.zeros((height + 1, width), np.uint8)
+    for y, (how, *_) in enumerate(rows[:, :1]):
+        line, up = rows[y, 1:], out[y]
+        if how == 2:
+            line = line + up
+        elif how == 1:
+            line = np.cumsum(line, dtype=np.uint8)
+        elif how:
+            now = np.zeros(width, np.uint8)
+            for x in range(width):
+                left, above, corner = (int(now[x - 1]) if x else 0), int(up[x]), (int(up[x - 1]) if x else 0)
+                guess = (left + above) // 2 if how == 3 else min((left, above, corner), key=lambda v: abs(left + above - corner - v))
+                now[x] = (int(line[x]) + guess) & 255
+            line = now
+        out[y + 1] = line
+    return out[1:]
+
+
 def otsu(page: np.ndarray) -> int:
     """The threshold that separates dark and light best; pixels above it are light."""
     n = np.bincount(page.reshape(-1), minlength=256).astype(float)

@@ -104,7 +104,8 @@ def stem(word: str) -> str:
 
 
 def _stems(word: pd.Series) -> pd.Series:
-    return word.map(lambda x: None if x is None else stem(x))
+    known = {x: stem(x) for x in word.dropna().unique()}
+    return word.map(known, na_action="ignore")
 
 
 def stem_of(word: Column) -> Column:

@@ -16,15 +16,14 @@ def tokens(content: Column) -> Column:
 def index(text_fts: DataFrame, stemmed: bool = True) -> DataFrame:
     """term, doc_id, section, n, first_position: one row per term and section, stop words left out.
 
-    Stems are computed per distinct word, not per occurrence. Sections without words have no row.
+    Stems are computed per distinct word of a section, and once per batch of them; nothing is joined on a word. Sections without words have no row.
     Repeated rows of a section count again; make sections unique first where that matters.
     """
     words = text_fts.select("doc_id", "section", F.posexplode(tokens(F.col("content"))).alias("position", "word")).where(~F.col("word").isin(*V.INDEX_STOPS))
     found = words.groupBy("word", "doc_id", "section").agg(F.count(F.lit(1)).alias("n"), F.min("position").alias("first_position"))
     if not stemmed:
         return found.withColumnRenamed("word", "term")
-    terms = found.select("word").distinct().withColumn("term", stem_of(F.col("word")))
-    return found.join(terms, "word").groupBy("term", "doc_id", "section").agg(F.sum("n").alias("n"), F.min("first_position").alias("first_position"))
+    return found.withColumn("term", stem_of(F.col("word"))).groupBy("term", "doc_id", "section").agg(F.sum("n").alias("n"), F.min("first_position").alias("first_position"))
 
 
 def search(inverted: DataFrame, query: str, stemmed: bool = True) -> DataFrame:

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from figloom.functions.names import canonical_path
+from figloom.shared import written
 from figloom.sources.tables import table
 
 PARAGRAPHS = ("p", "paragraph", "text")
@@ -392,6 +393,12 @@ def named_bodies(spark: SparkSession, folder: str) -> DataFrame:
     return latest
 
 
+def flat_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """All five flat tables of ``named_bodies``: the bodies are parsed once, and the written levels read by each."""
+    levels = written(shred(named_bodies(spark, folder), "xml_path", "body", texts=True), "levels")
+    return {name: assembled(levels, name) for name in TABLES}
+
+
 def flat_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The flat table ``name`` of ``named_bodies``."""
     return assembled(shred(named_bodies(spark, folder), "xml_path", "body", texts=True), name)

@@ -1,18 +1,19 @@
 """Tables with keys on a file system: versioned upsert, delete with cascade, truncation, compaction.
 
-A table is a folder of version folders and a pointer file. A write makes a new version and then
-replaces the pointer in one step, so a reader that starts sees the old or the new one whole. The
-version before the last is deleted. One writer at a time.
+A table is a folder of version folders and a pointer file, which names the version of each bucket. A write
+makes a new version of some buckets and then replaces the pointer in one step, so a reader that starts sees the old
+or the new state whole. Versions that neither the last nor the present state names are deleted. One writer at a time.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from figloom.shared import delete, file_system, replace_file
+from figloom.shared import delete, drop, file_system, replace_file, written
 
 SCHEMAS = {
     "docs": "doc_id string, xml string, tiffs array<string>",
@@ -20,10 +21,20 @@ SCHEMAS = {
     "text_fts": "doc_id string, section string, content string",
 }
 KEYS = {"docs": ["doc_id"], "figures": ["id"], "text_fts": ["doc_id", "section"]}
+#: A table's rows lie in so many buckets by the hash of their key; an upsert rewrites those it touches.
+BUCKETS = 64
 #: Child table -> its key in docs; deletes and truncation go along it.
 CHILDREN = {"figures": "doc_id", "text_fts": "doc_id"}
 
 
+def _split_schema(schema: str) -> list[str]:
+    return [c.strip() for c in schema.split(", ")]
+
+
+def _bucket(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
 def latest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the one with the greatest ``order`` (NULLs lowest); a NULL key is a key.
 
@@ -45,37 +56,45 @@ class Store:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def _pointer(self, name: str):
-        return file_system(self.spark, f"{self.folder}/{name}/CURRENT")
-
-    def version(self, name: str) -> str | None:
-        fs, at = self._pointer(name)
+    def versions(self, name: str) -> dict[str, str]:
+        """Bucket -> the version folder that holds it; empty for a table that doesn't exist."""
+        fs, at = file_system(self.spark, f"{self.folder}/{name}/CURRENT")
         if not fs.exists(at):
-            return None
-        return self.spark.read.text(f"{self.folder}/{name}/CURRENT").first()[0]
+            return {}
+        return json.loads(self.spark.read.text(f"{self.folder}/{name}/CURRENT", wholetext=True).first()[0])
 
     def create(self) -> None:
         """Empty tables for those that don't exist yet. Idempotent."""
         for name, schema in SCHEMAS.items():
-            if self.version(name) is None:
+            if not self.versions(name):
                 self.write(name, self.spark.createDataFrame([], schema))
 
     def read(self, name: str) -> DataFrame:
-        version = self.version(name)
-        if version is None:
-            return self.spark.createDataFrame([], SCHEMAS[name])
-        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}/{version}")
+        return self._buckets(name, self.versions(name))
 
-    def write(self, name: str, rows: DataFrame) -> None:
-        """Replaces the table's contents at once."""
-        before, version = self.version(name), f"v-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.folder}/{name}/{version}")
-        replace_file(self.spark, f"{self.folder}/{name}/CURRENT", version)
+    def _buckets(self, name: str, versions: dict[str, str]) -> DataFrame:
+        there = [f"{self.folder}/{name}/{version}/_bucket={k}" for k, version in versions.items() if version]
+        if not there:
+            return self.spark.createDataFrame([], SCHEMAS[name])
+        return self.spark.read.schema(SCHEMAS[name]).parquet(*there)
+
+    def write(self, name: str, rows: DataFrame, buckets: set[str] | None = None) -> None:
+        """Replaces the contents at once, of ``buckets`` or of all; ``rows`` are those of these buckets."""
+        before, version = self.versions(name), f"v-{uuid.uuid4().hex}"
+        placed = rows.withColumn("_bucket", _bucket(KEYS[name]))
+        placed.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.folder}/{name}/{version}")
+        now = {str(k): before.get(str(k), "") for k in range(BUCKETS)}
+        fs, at = file_system(self.spark, f"{self.folder}/{name}/{version}")
+        made = {e.getPath().getName().removeprefix("_bucket=") for e in fs.listStatus(at) if e.isDirectory()}
+        for k in now:
+            if buckets is None or k in buckets:
+                now[k] = version if k in made else ""
+        replace_file(self.spark, f"{self.folder}/{name}/CURRENT", json.dumps(now))
         if before:
-            self._forget(name, {before, version})
+            self._forget(name, {*before.values(), *now.values()})
 
     def _forget(self, name: str, keep: set[str]) -> None:
-        """Deletes all versions but ``keep``: the last one stays for readers that have begun with it."""
+        """Deletes all versions but ``keep``: those of the last state stay for readers that have begun with it."""
         fs, at = file_system(self.spark, f"{self.folder}/{name}")
         for entry in fs.listStatus(at):
             found = entry.getPath().getName()
@@ -83,7 +102,13 @@ class Store:
                 delete(self.spark, f"{self.folder}/{name}/{found}")
 
     def upsert(self, name: str, rows: DataFrame) -> None:
-        self.write(name, merged(self.read(name), rows, KEYS[name]))
+        """Takes ``rows`` in. Reads and rewrites only the buckets that their keys fall in."""
+        rows = written(rows.select(*[f.split()[0] for f in _split_schema(SCHEMAS[name])]), "batch")
+        touched = {str(r._bucket) for r in rows.select(_bucket(KEYS[name]).alias("_bucket")).distinct().collect()}  # at most BUCKETS
+        if touched:
+            held = {k: v for k, v in self.versions(name).items() if k in touched}
+            self.write(name, merged(self._buckets(name, held), rows, KEYS[name]), touched)
+        drop(rows)
 
     def delete_documents(self, ids: DataFrame) -> None:
         """Removes documents (doc_id) and, first, all their figures and sections."""
@@ -96,11 +121,24 @@ class Store:
         for name in (*CHILDREN, "docs"):
             self.write(name, self.read(name).limit(0))
 
-    def vacuum(self, rows_per_file: int = 1_000_000) -> None:
-        """Rewrites every table as few files."""
+    def vacuum(self) -> DataFrame:
+        """Rewrites every table as one file per bucket, and returns its ``statistics``."""
         for name in SCHEMAS:
-            rows = self.read(name)
-            self.write(name, rows.coalesce(max(1, -(-rows.count() // rows_per_file))))
+            self.write(name, self.read(name))
+        return self.statistics()
+
+    def statistics(self) -> DataFrame:
+        """relname, n_rows, n_files, n_bytes of each table's files as they stand."""
+        told = []
+        for name in sorted(SCHEMAS):
+            n_files = n_bytes = 0
+            for k, version in self.versions(name).items():
+                if version:
+                    fs, at = file_system(self.spark, f"{self.folder}/{name}/{version}/_bucket={k}")
+                    summary = fs.getContentSummary(at)
+                    n_files, n_bytes = n_files + int(summary.getFileCount()), n_bytes + int(summary.getLength())
+            told.append((name, n_files, n_bytes))
+        return self.counts().join(self.spark.createDataFrame(told, "relname string, n_files long, n_bytes long"), "relname")
 
     def counts(self) -> DataFrame:
         return table_counts({name: self.read(name) for name in SCHEMAS})

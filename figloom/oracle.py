@@ -101,22 +101,22 @@ WHERE sentence <> ''""",
         order=", ".join(f"{c} DESC NULLS LAST" for c in ("recorded_at", "doc_id", "tiff_path", "fig_label", "bbox_x1", "bbox_y1", "bbox_x2", "bbox_y2")),
     ),
     "docs_incremental": f"SELECT DISTINCT {_KEY.format('doc_id')} AS doc_key FROM figures WHERE doc_id IS NOT NULL AND {_KEY.format('doc_id')} NOT IN (SELECT {_KEY.format('doc_id')} FROM docs WHERE doc_id IS NOT NULL)",
-    "cascade_delete": "SELECT doc_id, section, length(content)::INT AS n_chars FROM text_fts WHERE coalesce(doc_id, '') NOT IN (SELECT doc_id FROM docs WHERE doc_id IS NOT NULL GROUP BY 1 HAVING bool_and(removed_at IS NOT NULL))",
+    "cascade_delete": f"SELECT doc_id, section, length(content)::INT AS n_chars FROM text_fts WHERE coalesce({_KEY.format('doc_id')}, '-') NOT IN (SELECT {_KEY.format('doc_id')} FROM docs WHERE doc_id IS NOT NULL GROUP BY 1 HAVING bool_and(removed_at IS NOT NULL))",
     "doc_pages": r"SELECT doc_id, page_no, tiff FROM (SELECT doc_id, (generate_subscripts(tiffs, 1) - 1)::INT AS page_no, unnest(tiffs) AS tiff FROM docs) WHERE tiff IS NOT NULL AND NOT regexp_matches(upper(tiff), 'D00000\.TIFF?$')",
     "doc_page_match": f"""
-SELECT f.id, f.doc_id, f.fig_num FROM (SELECT id, doc_id, {_label('fig_label')} AS fig_num FROM figures) f
-WHERE (f.doc_id, f.fig_num) IN (SELECT (doc_id, unnest({_NUMS.format('content')})) FROM text_fts WHERE section = 'caption' AND content IS NOT NULL)""",
+SELECT f.id, f.doc_key, f.fig_num FROM (SELECT id, {_KEY.format('doc_id')} AS doc_key, {_label('fig_label')} AS fig_num FROM figures) f
+WHERE (f.doc_key, f.fig_num) IN (SELECT ({_KEY.format('doc_id')}, unnest({_NUMS.format('content')})) FROM text_fts WHERE section = 'caption' AND content IS NOT NULL)""",
     "doc_overview": "SELECT doc_id, xml, coalesce(len(tiffs), 0)::INT AS tiff_count FROM docs",
-    "top_documents": "SELECT doc_id, count(*) AS n_figures FROM figures GROUP BY 1 ORDER BY n_figures DESC, doc_id NULLS LAST LIMIT 10",
+    "top_documents": f"SELECT {_KEY.format('doc_id')} AS doc_key, count(*) AS n_figures FROM figures GROUP BY 1 ORDER BY n_figures DESC, doc_key NULLS LAST LIMIT 10",
     "table_counts": " UNION ALL ".join(f"SELECT '{t}' AS relname, count(*) AS n_rows FROM {t}" for t in ("docs", "figures", "text_fts")),
     "integrity": "SELECT 'docs' AS relname, count(*) AS n_rows, 0::BIGINT AS n_orphans FROM docs"
-    + "".join(f" UNION ALL SELECT '{t}', count(*), count(*) FILTER (d.doc_id IS NULL) FROM {t} c LEFT JOIN (SELECT DISTINCT doc_id FROM docs) d ON c.doc_id = d.doc_id" for t in ("figures", "text_fts")),
+    + "".join(f" UNION ALL SELECT '{t}', count(*), count(*) FILTER (d.doc_id IS NULL) FROM {t} c LEFT JOIN (SELECT DISTINCT {_KEY.format('doc_id')} AS doc_id FROM docs) d ON {_KEY.format('c.doc_id')} = d.doc_id" for t in ("figures", "text_fts")),
     "letterbox_meta": """
 SELECT id, CASE WHEN ok THEN w END AS orig_width, CASE WHEN ok THEN h END AS orig_height, CASE WHEN ok THEN nw END AS resized_width, CASE WHEN ok THEN nh END AS resized_height,
   CASE WHEN ok THEN floor((2048 - nw) / 2)::INT END AS offset_x, CASE WHEN ok THEN floor((2048 - nh) / 2)::INT END AS offset_y, CASE WHEN ok THEN round(s, 9) END AS scale
 FROM (SELECT *, greatest(1, round_even(w * s, 0)::INT) AS nw, greatest(1, round_even(h * s, 0)::INT) AS nh, w > 0 AND h > 0 AS ok
   FROM (SELECT id, w, h, least(1.0::DOUBLE, 2048::DOUBLE / greatest(w, h)) AS s FROM (SELECT id, original_size[1] AS w, original_size[2] AS h FROM train)))""",
-    "bbox_union": "SELECT doc_id, min(bbox_x1) AS x1, min(bbox_y1) AS y1, max(bbox_x2) AS x2, max(bbox_y2) AS y2 FROM figures GROUP BY 1",
+    "bbox_union": f"SELECT {_KEY.format('doc_id')} AS doc_key, min(bbox_x1) AS x1, min(bbox_y1) AS y1, max(bbox_x2) AS x2, max(bbox_y2) AS y2 FROM figures GROUP BY 1",
     "page_label_filter": f"SELECT tiff_path, 'FIG. ' || min(n) AS fig_label FROM (SELECT tiff_path, {_label('fig_label')} AS n FROM figures WHERE tiff_path IS NOT NULL) GROUP BY 1 HAVING count(DISTINCT n) <= 1",
     "content_hash": "SELECT file_id, sha256(payload) AS computed FROM page_files",
     "family_label": f"""

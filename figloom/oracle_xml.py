@@ -99,4 +99,7 @@ SELECT f.k AS xml_path, figure_no::INT AS figure_no, {attribute('num', 'f.tok')}
 SELECT k AS xml_path, (row_number() OVER (PARTITION BY k ORDER BY e.i))::INT AS paragraph_no, {attribute('id')} AS id, {attribute('num')} AS num, said AS content FROM el e JOIN said USING (k, i) WHERE {_PARAGRAPH}""",
     "p6_claims": f"WITH {with_claims(_NAMED)} SELECT k AS xml_path, claim_no::INT AS claim_no, {attribute('id', 'c.tok')} AS id, {attribute('claim-type', 'c.tok')} AS claim_type, said AS content FROM claim c JOIN said USING (k, i)",
     "p6_claim_parts": f"WITH {with_claims(_NAMED)} SELECT k AS xml_path, claim_no::INT AS claim_no, node_no::INT AS node_no, parent_no::INT AS parent_no, {attribute('id', 'p.tok')} AS id, said AS content FROM part p JOIN said USING (k, i)",
+    "p6_tables": f"""WITH {with_claims(_NAMED)}
+SELECT 'documents' AS name, count(*) AS n_rows FROM good UNION ALL SELECT 'figures', count(*) FROM el WHERE name = 'figure' UNION ALL SELECT 'paragraphs', count(*) FROM el e WHERE {_PARAGRAPH}
+UNION ALL SELECT 'claims', count(*) FROM claim UNION ALL SELECT 'claim_parts', count(*) FROM part""",
 }

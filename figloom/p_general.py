@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from figloom.functions.names import canonical_path
@@ -88,9 +90,15 @@ def p6_claim_parts(spark: SparkSession, folder: str) -> DataFrame:
     return S.flat_table(spark, folder, "claim_parts")
 
 
+def p6_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the five flat tables, all assembled from one shredding."""
+    made = S.flat_tables(spark, folder)
+    return reduce(DataFrame.unionAll, (df.groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("name"), "n_rows") for name, df in made.items()))
+
+
 def p6_leaves(spark: SparkSession, folder: str) -> DataFrame:
     """Every element and attribute of the bodies, also those that the five flat tables have no column for."""
     return S.leaves(S.named_bodies(spark, folder), "xml_path", "body")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_bundles, p1_compacted, p1_named, p4_found, p4_report, p4_cascade, p6_found, p6_documents, p6_figures, p6_paragraphs, p6_claims, p6_claim_parts, p6_leaves)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_bundles, p1_compacted, p1_named, p4_found, p4_report, p4_cascade, p6_found, p6_documents, p6_figures, p6_paragraphs, p6_claims, p6_claim_parts, p6_tables, p6_leaves)}

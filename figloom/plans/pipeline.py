@@ -8,6 +8,7 @@ from figloom.functions import phrases as P, text as X
 from figloom.functions.names import stem
 from figloom.operators import fts, metadata
 from figloom.operators.store import Store
+from figloom.shared import written
 from figloom.sources import bundles as B, pages, sinks
 
 #: The prompt's own wording; every field is filled by one text function.
@@ -81,8 +82,9 @@ def build(spark: SparkSession, raw: str, store: Store, out: str, ocr=None, split
     files = B.extract(B.scan_bundles(spark, raw))
     if split is not None:
         files = files.join(split.select("doc_id").distinct(), "doc_id", "left_semi")
+    files = written(files, "members")  # the archives are opened once
     xml = files.where("kind = 'xml'").groupBy("doc_id").agg(F.min_by(F.struct("name", F.decode("content", "utf-8").alias("body")), "path").alias("x"))
-    meta = metadata.with_metadata(xml.select("doc_id", "x.body"), "doc_id", "body")
+    meta = written(metadata.with_metadata(xml.select("doc_id", "x.body"), "doc_id", "body"), "meta")
     store.create()
     load_sections(store, meta)
     named = xml.select("doc_id", F.concat(F.lit("data/work/extracted/"), "doc_id", F.lit("/"), "x.name").alias("source_xml"))

@@ -217,8 +217,10 @@ def docs_incremental(spark, d):
 @query
 def cascade_delete(spark, d):
     """Sections that remain when documents whose every row was removed are deleted."""
-    docs = table(spark, d, "docs").groupBy("doc_id").agg(F.bool_and(F.col("removed_at").isNotNull()).alias("gone"))
-    return table(spark, d, "text_fts").join(docs.where("gone"), "doc_id", "left_anti").select("doc_id", "section", F.length("content").alias("n_chars"))
+    key = document_key(F.col("doc_id")).alias("doc_key")
+    docs = table(spark, d, "docs").groupBy(key).agg(F.bool_and(F.col("removed_at").isNotNull()).alias("gone"))
+    sections = table(spark, d, "text_fts").select(key, "doc_id", "section", F.length("content").alias("n_chars"))
+    return sections.join(docs.where("gone"), "doc_key", "left_anti").select("doc_id", "section", "n_chars")
 
 
 @query
@@ -231,9 +233,10 @@ def doc_pages(spark, d):
 @query
 def doc_page_match(spark, d):
     """Figures whose number the document's captions name."""
-    nums = table(spark, d, "text_fts").where("section = 'caption'").select("doc_id", F.explode(X.figure_numbers(F.array("content"))).alias("fig_num")).distinct()
-    figures = table(spark, d, "figures").select("id", "doc_id", X.label_number(F.col("fig_label")).alias("fig_num"))
-    return figures.join(nums, ["doc_id", "fig_num"], "left_semi")
+    key = document_key(F.col("doc_id")).alias("doc_key")
+    nums = table(spark, d, "text_fts").where("section = 'caption'").select(key, F.explode(X.figure_numbers(F.array("content"))).alias("fig_num")).distinct()
+    figures = table(spark, d, "figures").select("id", key, X.label_number(F.col("fig_label")).alias("fig_num"))
+    return figures.join(nums, ["doc_key", "fig_num"], "left_semi")
 
 
 @query
@@ -244,7 +247,8 @@ def doc_overview(spark, d):
 @query
 def top_documents(spark, d):
     """The ten documents with most figures: a top-k report."""
-    return table(spark, d, "figures").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_figures")).orderBy(F.desc("n_figures"), F.asc_nulls_last("doc_id")).limit(10)
+    by = table(spark, d, "figures").groupBy(document_key(F.col("doc_id")).alias("doc_key"))
+    return by.agg(F.count(F.lit(1)).alias("n_figures")).orderBy(F.desc("n_figures"), F.asc_nulls_last("doc_key")).limit(10)
 
 
 @query
@@ -254,7 +258,7 @@ def table_counts(spark, d):
 
 @query
 def integrity(spark, d):
-    return store.integrity({t: table(spark, d, t) for t in ("docs", "figures", "text_fts")})
+    return store.integrity({t: table(spark, d, t).withColumn("doc_id", document_key(F.col("doc_id"))) for t in ("docs", "figures", "text_fts")})
 
 
 @query
@@ -266,7 +270,7 @@ def letterbox_meta(spark, d):
 @query
 def bbox_union(spark, d):
     """The box around all of a document's figures."""
-    return table(spark, d, "figures").groupBy("doc_id").agg(F.min("bbox_x1").alias("x1"), F.min("bbox_y1").alias("y1"), F.max("bbox_x2").alias("x2"), F.max("bbox_y2").alias("y2"))
+    return table(spark, d, "figures").groupBy(document_key(F.col("doc_id")).alias("doc_key")).agg(F.min("bbox_x1").alias("x1"), F.min("bbox_y1").alias("y1"), F.max("bbox_x2").alias("x2"), F.max("bbox_y2").alias("y2"))
 
 
 @query

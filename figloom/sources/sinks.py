@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import shutil
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from figloom.shared import written
+
 ROW = """id string, image_path string, control_path string, prompt string, source_xml string, doc_id string, sha256 string, bbox array<int>,
 bbox_initial array<int>, original_size array<int>, resize_meta struct<orig_width:int,orig_height:int,resized_width:int,resized_height:int,
 offset_x:int,offset_y:int,scale:double,canvas_size:int>, fig_label string, tiff_source string, label_in_xml boolean"""
@@ -23,11 +27,18 @@ def read_rows(spark: SparkSession, path: str, schema: str | StructType = ROW) ->
     return spark.read.schema(schema).json(path)
 
 
-def resolved(path: Column, bases: Sequence[str], there: Column | None = None) -> Column:
-    """An absolute path as it is, else below the first base where ``there`` (array of existing paths) has it, else below the first base."""
-    options = [F.concat(F.lit(b.rstrip("/") + "/"), path) for b in bases]
-    known = [F.when(F.array_contains(there, o), o) for o in options] if there is not None else []
-    return F.when(path.startswith("/"), path).otherwise(F.coalesce(*known, options[0]))
+def resolve_paths(rows: DataFrame, path: str, bases: Sequence[str], there: DataFrame, out: str = "resolved") -> DataFrame:
+    """``rows`` with ``out``: an absolute path as it is, else below the first base where ``there`` (path) has it, else below the first base.
+
+    ``there`` are absolute paths; no disk is touched. Every base is an option of a row, and the options are
+    joined with the paths there are, so neither side is collected. A NULL path stays NULL.
+    """
+    options = F.array(*[F.struct(F.lit(i).alias("_i"), F.concat(F.lit(b.rstrip("/") + "/"), F.col("_asked")).alias("_option")) for i, b in enumerate(bases)])
+    asked = rows.select(F.col(path).alias("_asked")).where(F.col("_asked").isNotNull() & ~F.col("_asked").startswith("/")).distinct()
+    listed = asked.select("_asked", F.inline(options))
+    known = listed.join(there.select(F.col("path").alias("_option")).distinct(), "_option", "left_semi").groupBy("_asked").agg(F.min_by("_option", "_i").alias("_found"))
+    met = rows.join(known, F.col(path) == F.col("_asked"), "left")
+    return met.withColumn(out, F.when(F.col(path).startswith("/"), F.col(path)).otherwise(F.coalesce("_found", F.concat(F.lit(bases[0].rstrip("/") + "/"), F.col(path))))).drop("_asked", "_found")
 
 
 def caption_pairs(rows: DataFrame) -> DataFrame:
@@ -40,7 +51,9 @@ def caption_pairs(rows: DataFrame) -> DataFrame:
 def export_captions(pairs: DataFrame, bases: Sequence[str], out: str) -> DataFrame:
     """Copies each image that exists below ``bases`` to ``out`` and writes its caption beside it. One row: written, missing.
 
-    Runs on the executors; ``out`` must be a folder that all of them see. Lists the first five missing paths.
+    Runs on the executors; ``out`` must be a folder that all of them see. Lists the first five missing paths. Images of
+    one name in several folders get a hash of their path before it. A file takes its name when it is
+    whole, so a task that runs twice does no harm.
     """
 
     def run(batches):
@@ -49,19 +62,27 @@ def export_captions(pairs: DataFrame, bases: Sequence[str], out: str) -> DataFra
         os.makedirs(out, exist_ok=True)
         for frame in batches:
             rows = []
-            for image, caption_path, caption in zip(frame["image_path"], frame["caption_path"], frame["caption"]):
+            for image, caption_path, caption, twice in zip(frame["image_path"], frame["caption_path"], frame["caption"], frame["twice"]):
                 options = [image] if os.path.isabs(image) else [os.path.join(b, image) for b in bases]
                 found = next((o for o in options if os.path.exists(o)), None)
                 if found:
-                    shutil.copyfile(found, os.path.join(out, os.path.basename(found)))
-                    with open(os.path.join(out, caption_path), "w", encoding="utf-8") as f:
+                    name, stem = os.path.basename(found), caption_path
+                    if twice:  # another image has the same name
+                        own = hashlib.md5(image.encode()).hexdigest()[:8]
+                        name, stem = f"{own}_{name}", f"{own}_{stem}"
+                    part = os.path.join(out, f".{uuid.uuid4().hex}")
+                    shutil.copyfile(found, part)
+                    os.replace(part, os.path.join(out, name))
+                    with open(part, "w", encoding="utf-8") as f:
                         f.write(caption)
+                    os.replace(part, os.path.join(out, stem))
                 rows.append((image, found is not None))
             yield pd.DataFrame(rows, columns=["image_path", "ok"])
 
-    done = pairs.mapInPandas(run, "image_path string, ok boolean")
-    missing = F.slice(F.array_sort(F.collect_set(F.when(~F.col("ok"), F.col("image_path")))), 1, 5)
-    return done.agg(F.count_if("ok").alias("written"), F.count_if(~F.col("ok")).alias("missing"), missing.alias("first_missing"))
+    several = pairs.groupBy("caption_path").agg((F.min("image_path") != F.max("image_path")).alias("twice"))
+    done = written(pairs.join(several, "caption_path").select("image_path", "caption_path", "caption", "twice").mapInPandas(run, "image_path string, ok boolean"), "exported")
+    first = done.where("NOT ok").select("image_path").distinct().orderBy("image_path").limit(5).agg(F.array_sort(F.collect_list("image_path")).alias("first_missing"))
+    return done.agg(F.count_if("ok").alias("written"), F.count_if(~F.col("ok")).alias("missing")).crossJoin(first)  # a row each
 
 
 def export_files(rows: DataFrame, name: str, content: str, out: str) -> int:

@@ -174,9 +174,14 @@ def test_sinks(spark, tmp_path):
     pairs = sinks.caption_pairs(rows)
     told = sinks.export_captions(pairs, [str(tmp_path)], str(tmp_path / "out")).first()
     assert (told.written, told.missing, told.first_missing) == (1, 1, ["img/b.png"]) and (tmp_path / "out/a.txt").read_text() == "cap é"
-    there = F.array(F.lit("/y/p"))
-    df = spark.createDataFrame([("p",), ("/abs",), ("q",)], "p string")
-    assert [r[0] for r in df.select(sinks.resolved(F.col("p"), ["/x", "/y"], there)).collect()] == ["/y/p", "/abs", "/x/q"]
+    (tmp_path / "two").mkdir()
+    (tmp_path / "two" / "a.png").write_bytes(b"y")
+    both = sinks.caption_pairs(spark.createDataFrame([("img/a.png", "one"), ("two/a.png", "two")], "image_path string, prompt string"))
+    assert sinks.export_captions(both, [str(tmp_path)], str(tmp_path / "out2")).first().written == 2
+    assert len(list((tmp_path / "out2").glob("*_a.png"))) == len(list((tmp_path / "out2").glob("*_a.txt"))) == 2
+    there = spark.createDataFrame([("/y/p",), ("/y/p",), ("/x/r",), ("/y/r",)], "path string")
+    df = spark.createDataFrame([("p",), ("/abs",), ("q",), ("r",), (None,), ("p",)], "p string")
+    assert sorted((str(r.p), r.resolved) for r in sinks.resolve_paths(df, "p", ["/x", "/y"], there).collect()) == [("/abs", "/abs"), ("None", None), ("p", "/y/p"), ("p", "/y/p"), ("q", "/x/q"), ("r", "/x/r")]
     out = new_path(spark, "rows")
     sinks.write_rows(rows, out)
     assert sinks.read_rows(spark, out, rows.schema).count() == 5 and all("prompt" in r.value for r in spark.read.text(out).collect())
@@ -208,3 +213,46 @@ def test_command_line(spark, raw, tmp_path, capsys, monkeypatch):
 
 
 _ = io
+
+
+def test_upsert_rewrites_only_the_buckets_it_touches(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/db")
+    store.create()
+    rows = [(f"D{i}", f"x{i}", [f"t{i}", None]) for i in range(200)]
+    schema = "doc_id string, xml string, tiffs array<string>"
+    store.upsert("docs", spark.createDataFrame(rows + rows[:3] + [(None, "n", None)], schema))
+    before = store.versions("docs")
+    store.upsert("docs", spark.createDataFrame([("D7", "new", None)], schema))
+    after = store.versions("docs")
+    assert sum(before[k] != after[k] for k in after) == 1 and before.keys() == after.keys()
+    got = {r.doc_id: r.xml for r in store.read("docs").collect()}
+    assert len(got) == 201 and got["D7"] == "new" and got["D8"] == "x8" and got[None] == "n" and store.read("docs").count() == 201
+    store.vacuum()
+    assert store.read("docs").count() == 201
+    store.upsert("docs", spark.createDataFrame([], schema))
+    assert store.read("docs").count() == 201 and store.statistics().where("relname = 'docs'").first().n_rows == 201
+
+
+def test_made_images_come_back():
+    import numpy as np
+
+    from figloom.functions import images as I
+
+    page = np.random.default_rng(1).integers(0, 256, (7, 5), dtype=np.uint8)
+    assert (I.read_tiff(I.write_tiff(page)) == page).all() and (I.read_png(I.write_png(page)) == page).all()
+    import struct
+    import zlib
+
+    rows, above = b"", np.zeros(5, np.uint8)
+    for y, line in enumerate(page):  # every filter
+        how, left = y % 5, np.concatenate([[0], line[:-1]]).astype(int)
+        corner = np.concatenate([[0], above[:-1]]).astype(int)
+        up = above.astype(int)
+        guess = [left * 0, left, up, (left + up) // 2, np.array([min((a, b, c), key=lambda v: abs(a + b - c - v)) for a, b, c in zip(left, up, corner)])][how]
+        rows += bytes([how]) + ((line.astype(int) - guess) % 256).astype(np.uint8).tobytes()
+        above = line
+    chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+    png = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", 5, 7, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
+    assert (I.read_png(png) == page).all()
+    with pytest.raises(ValueError):
+        I.read_png(b"x")
