@@ -15,6 +15,8 @@ import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from figloom.functions.names import PROJECT_ROOT, canonical_path
@@ -144,9 +146,6 @@ def slots_of(placed: DataFrame, file_bytes: int) -> DataFrame:
 
 def _in_slots(slots: list) -> Callable[[Column, Column], Column]:
     """A column function (applicant_id, file_id) -> slot, for the collected rows of ``slots_of``; -1 where none begins before."""
-    import numpy as np
-    import pandas as pd
-
     starts: dict[str | None, tuple] = {}
     for r in sorted(slots, key=lambda r: r.first_id):
         starts.setdefault(r.applicant_id, ([], []))
@@ -221,51 +220,3 @@ def consolidate(spark: SparkSession, source: str, final: str, bundle_bytes: int,
 def store_members(store: DataFrame) -> DataFrame:
     """The store as flat rows, one per kept file."""
     return store.select("applicant_id", "bundle_no", F.inline("members"))
-
-
-def consolidate(spark: SparkSession, source: str, final: str, bundle_bytes: int, root: str = PROJECT_ROOT, file_bytes: int = 128 * MIB) -> DataFrame:
-    """Writes the consolidated store of the rows of ``source`` (like ``page_files``) to ``final``.
-
-    The store has one row per bundle: ``applicant_id, bundle_no, n_files, n_bytes`` and ``members``,
-    an array of (file_id, path, kind, n_bytes, sha256, written_at, removed_at, payload) in order of
-    file_id. The hash is computed from the payload, so null and wrong hashes don't get in. Bundles
-    are rows and not files, because at 256 KiB a file each would be the small-files problem again;
-    the store's files are near ``file_bytes``.
-
-    Before the rename the staged store is read again: its file ids must be exactly the winners',
-    each once, and every member's payload must still have the hash it was stored with.
-    """
-    packing = plan_packing(spark, source, file_bytes)
-    staging = f"{final}.staging-{uuid.uuid4().hex}"
-    with split_packing(spark, packing):
-        files = spark.read.parquet(source)
-        placed = written(assign_bundles(latest_writes(files.select("file_id", "path", "applicant_id", "n_bytes", "written_at"), root), bundle_bytes), "placed")
-        one = F.struct("file_id", canonical_path(F.col("path"), root).alias("path"), "kind", F.col("payload"), "written_at", "removed_at")
-        bundles = (
-            files.select("file_id", "path", "kind", "payload", "written_at", "removed_at")
-            .join(placed, "file_id")
-            .groupBy("applicant_id", "bundle_no")
-            .agg(F.sort_array(F.collect_list(one)).alias("m"))
-        )
-        hashed = F.transform("m", lambda m: F.struct(
-            m.file_id.alias("file_id"), m.path.alias("path"), m.kind.alias("kind"), F.coalesce(F.octet_length(m.payload), F.lit(0)).alias("n_bytes"),
-            F.sha2(m.payload, 256).alias("sha256"), m.written_at.alias("written_at"), m.removed_at.alias("removed_at"), m.payload.alias("payload"),
-        ))
-        rows = bundles.withColumn("members", hashed).select(
-            "applicant_id", F.col("bundle_no").cast("int").alias("bundle_no"), F.size("members").alias("n_files"),
-            F.aggregate("members", F.lit(0).cast("long"), lambda s, m: s + m.n_bytes).alias("n_bytes"), "members",
-        )
-        rows.coalesce(max(1, math.ceil(packing.total_bytes / file_bytes), spark.sparkContext.defaultParallelism)).write.parquet(staging)
-        store = spark.read.schema(rows.schema).parquet(staging)
-        kept = store.select(F.explode("members").alias("m"))
-        bad = kept.where(~F.sha2("m.payload", 256).eqNullSafe(F.col("m.sha256"))).limit(1).count()
-        want, got = fingerprint(placed, F.col("file_id")), fingerprint(kept, F.col("m.file_id"))
-    if bad or want != got:
-        raise RuntimeError(f"the staged store differs from its input ({want} and {got}, bad payload: {bool(bad)}); it stays in {staging}")
-    _publish(spark, staging, final)
-    return spark.read.schema(rows.schema).parquet(final)
-
-
-def store_members(store: DataFrame) -> DataFrame:
-    """The store as flat rows, one per kept file."""
-    return store.select("applicant_id", "bundle_no", F.inline("members"))
