@@ -113,7 +113,7 @@ def deal(groups: DataFrame, plan: DataFrame) -> DataFrame:
         room, upto, split = sum(x for x, _ in wanted) or 1.0, 0.0, F
         for x, name in wanted[:-1]:
             upto += x / room * bands[k]
-            split = split.when(F.col("before") < F.lit(upto), name)
+            split = split.when(F.col("before") < F.lit(round(upto, 6)), name)
         split = split.otherwise(wanted[-1][1]) if len(wanted) > 1 else F.lit(wanted[-1][1])
         choice = choice.when(F.col("band") == k, split)
         for r in queued.where(F.col("band") == k).groupBy(split.alias("split")).agg(F.sum("n_rows").alias("n")).collect():  # a row per split
@@ -150,7 +150,9 @@ def p2_together(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, folder: str) -> DataFrame:
-    groups = written(p2_groups(spark, folder, with_train=True), "ids")
+    groups = p2_groups(spark, folder, with_train=True)
+    named = groups.groupBy("root").agg(F.min("doc_key").alias("first_key"))  # a name that doesn't hang on the forest's hashes
+    groups = written(groups.join(named, "root").drop("root").withColumnRenamed("first_key", "root"), "ids")
     size = groups.groupBy("root").agg(F.sum("n_rows").alias("n_rows"), F.min(F.when(F.col("indexed"), F.col("doc_id"))).alias("group_doc_id"))
     size = written(size, "sizes")
     return groups.join(size.drop("n_rows"), "root").join(deal(size.select("root", "n_rows"), table(spark, folder, "split_plan")), "root")

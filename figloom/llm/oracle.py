@@ -76,7 +76,30 @@ chars AS (SELECT *, lag(ch) OVER w AS one, lag(ch, 2) OVER w AS two, lead(ch) OV
 shown AS (SELECT doc_id, nfc_normalize(string_agg(CASE WHEN {_KEPT} THEN ch ELSE coalesce(shown, ch) END, '' ORDER BY i)) AS form FROM chars LEFT JOIN looks ON c = unicode(ch) GROUP BY 1),
 forms AS MATERIALIZED (SELECT d.doc_id, text, CASE WHEN text IS NOT NULL THEN coalesce(form, '') END AS form FROM documents d LEFT JOIN shown USING (doc_id))"""
 
+#: The deal, band by band: ``q`` (root, n_rows, band, before), ``cuts`` (k, split, low, high) of each band.
+_DEAL = _GRAPH + f"""
+k AS (SELECT doc_id, {_KEY.format('doc_id')} AS key, true AS indexed FROM docs UNION ALL SELECT doc_id, {_KEY.format('doc_id')}, false FROM train),
+r AS MATERIALIZED (SELECT k.*, coalesce(c.c, 'D' || key) AS root FROM k LEFT JOIN c ON c.x = 'D' || key WHERE key <> ''),
+s AS MATERIALIZED (SELECT root, min(key) AS first_key, min(doc_id) FILTER (indexed) AS group_doc_id, count(*) AS n_rows, floor(log2(count(*)))::INT AS band FROM r GROUP BY 1),
+q AS MATERIALIZED (SELECT *, sum(n_rows) OVER (PARTITION BY band ORDER BY md5(first_key), first_key) - n_rows AS before, dense_rank() OVER (ORDER BY band DESC) AS k FROM s),
+bands AS MATERIALIZED (SELECT k, sum(n_rows) AS n FROM q GROUP BY 1),
+lack AS (
+  SELECT 0::BIGINT AS k, split, share / (SELECT sum(share) FROM split_plan) * (SELECT sum(n_rows) FROM q)::DOUBLE AS lack FROM split_plan
+  UNION ALL
+  SELECT k, split, lack - coalesce((SELECT sum(q.n_rows) FROM q WHERE q.k = x.k AND q.before >= x.low AND (q.before < x.high OR x.pos = x.n_splits)), 0)::DOUBLE FROM (
+    SELECT b.k, t.split, t.lack, row_number() OVER o AS pos, count(*) OVER () AS n_splits, round(sum(greatest(t.lack, 0)) OVER o / sum(greatest(t.lack, 0)) OVER () * b.n, 6) AS high,
+      round((sum(greatest(t.lack, 0)) OVER o - greatest(t.lack, 0)) / sum(greatest(t.lack, 0)) OVER () * b.n, 6) AS low
+    FROM lack t JOIN bands b ON b.k = t.k + 1 WINDOW o AS (ORDER BY greatest(t.lack, 0) DESC, t.split)) x),
+cuts AS (
+  SELECT b.k, split, row_number() OVER o AS pos, count(*) OVER (PARTITION BY b.k) AS n_splits, round(sum(greatest(lack, 0)) OVER o / sum(greatest(lack, 0)) OVER (PARTITION BY b.k) * b.n, 6) AS high,
+    round((sum(greatest(lack, 0)) OVER o - greatest(lack, 0)) / sum(greatest(lack, 0)) OVER (PARTITION BY b.k) * b.n, 6) AS low
+  FROM lack t JOIN bands b ON b.k = t.k + 1 WINDOW o AS (PARTITION BY b.k ORDER BY greatest(lack, 0) DESC, split)),
+dealt AS MATERIALIZED (SELECT q.root, q.group_doc_id, q.n_rows, split FROM q JOIN cuts c ON c.k = q.k AND q.before >= c.low AND (q.before < c.high OR c.pos = c.n_splits))"""
+
 SQL = {
+    "p2_splits": _DEAL + " SELECT DISTINCT doc_id, group_doc_id, split FROM r JOIN dealt USING (root) WHERE indexed",
+    "p2_train_splits": _DEAL + f" SELECT t.id, t.doc_id, dealt.split FROM train t JOIN (SELECT DISTINCT key, root FROM r) x ON x.key = {_KEY.format('t.doc_id')} JOIN dealt USING (root)",
+    "p2_shares": _DEAL + " SELECT p.split, coalesce(n, 0)::BIGINT AS n_rows, round(coalesce(n, 0) / sum(n) OVER (), 4) AS share, p.share AS wanted FROM split_plan p LEFT JOIN (SELECT split, sum(n_rows) AS n FROM dealt GROUP BY 1) USING (split)",
     "p2_found": _GRAPH + f"""
 d AS (SELECT DISTINCT doc_id, coalesce(c.c, 'D' || {_KEY.format('doc_id')}) AS c FROM docs LEFT JOIN c ON c.x = 'D' || {_KEY.format('doc_id')} WHERE {_KEY.format('doc_id')} <> ''),
 g AS (SELECT c, min(doc_id) AS group_doc_id FROM d GROUP BY 1 HAVING count(DISTINCT {_KEY.format('doc_id')}) > 1)
