@@ -105,9 +105,10 @@ def with_form(df: DataFrame, text: str = "text", out: str = "form", fold_case: b
 
         return pd.Series(_forms(s.tolist(), fold_case), index=s.index, dtype=object)
 
+    once = udf.asNondeterministic()  # so that a filter on the form doesn't make it a second time
     plain = F.col(text).rlike(r"\A[\n -~]*\z")
     own = F.lower(F.col(text)) if fold_case else F.col(text)
-    return df.withColumn(out, F.when(plain, own).otherwise(udf(F.when(~plain, F.col(text)))))
+    return df.withColumn(out, F.when(plain, own).otherwise(once(F.when(~plain, F.col(text)))))
 
 
 def look_keys(df: DataFrame, key: str, text: str, fold_case: bool = False) -> DataFrame:
