@@ -1,4 +1,4 @@
-"""Text analysis that walks token by token: relations, labels in context, figure texts, page labels.
+"""Text analysis that walks token by token: relations, labels in context, page labels.
 
 Plain Python functions on one text, and Arrow-batched column functions over them. Nothing here
 depends on rows other than its own.
@@ -19,7 +19,6 @@ _SPACE = re.compile(r"\s+")
 _TOKEN = re.compile(r"[A-Za-z0-9]+(?:[-/][A-Za-z0-9]+)*")
 _LABEL_TOKEN = re.compile(r"\b[0-9A-Za-z]+['′]?\b")
 _SENTENCES = re.compile(r"(?<=[.;:])\s+|\n+")
-_FIGURE = re.compile(V.FIGURE, re.I)
 _NUMBER = re.compile(r"^0*([0-9]{1,4})([A-Z]{0,2})(?:-0*([0-9]{1,4})([A-Z]{0,2}))?$")
 
 
@@ -208,33 +207,6 @@ def keywords(text: str | None, k: int = 14) -> list[str]:
     return [w for w, _ in kept.most_common(k)]
 
 
-def figure_text(paragraphs: Sequence[str | None] | None, captions: Sequence[str | None] | None, number: str | None) -> str:
-    """The paragraphs on one figure: from the first that refers to it to the next that refers to others only, two at least.
-
-    Without a usable number or without any mention: the first two paragraphs; without paragraphs the first two captions.
-    """
-    paragraphs = [p for p in paragraphs if p and p.strip()] if paragraphs is not None else []
-    captions = [c for c in captions if c and c.strip()] if captions is not None else []
-    target = canonical_number(number)
-    if not paragraphs:
-        return " ".join(captions[:2])
-    if not target:
-        return " ".join(paragraphs[:2])
-    refs = [{c for c in map(canonical_number, _FIGURE.findall(p)) if c} for p in paragraphs]
-    start = next((i for i, r in enumerate(refs) if target in r), None)
-    if start is None:
-        flat = target.replace("-", "")
-        squeezed = (re.sub(r"[ .,\-]", "", p.upper()) for p in paragraphs)
-        start = next((i for i, p in enumerate(squeezed) if "FIG" in p and flat in p), None)
-    if start is None:
-        return " ".join(paragraphs[:2])
-    end = next((i for i in range(start + 1, len(paragraphs)) if refs[i] and target not in refs[i]), len(paragraphs))
-    chosen = paragraphs[start:end]
-    if len(chosen) < 2 and start + 1 < len(paragraphs) and paragraphs[start + 1] not in chosen:
-        chosen.append(paragraphs[start + 1])
-    return " ".join(chosen)
-
-
 _DASHES = str.maketrans(dict.fromkeys(V.DASHES, "-"))
 _INDICATOR = re.compile(r"(?:FIGURE|FIG)(?![^\W\d_])(.*)", re.I | re.S)
 _PARTIAL = re.compile(r"[0-9]{1,4}(?:[A-Z]{1,2}|-[0-9]{0,4})?|[0-9]{1,4}[A-Z]{1,2}-[0-9]{0,4}")
@@ -295,10 +267,6 @@ def _labels(text: pd.Series, label: pd.Series) -> pd.Series:
     return pd.Series([labels(t, f) for t, f in zip(text, label)], index=text.index, dtype=object)
 
 
-def _figure_texts(paragraphs: pd.Series, captions: pd.Series, number: pd.Series) -> pd.Series:
-    return pd.Series([figure_text(p, c, n) for p, c, n in zip(paragraphs, captions, number)], index=number.index, dtype=object)
-
-
 def _page_labels(words: pd.Series) -> pd.Series:
     return words.map(lambda w: page_labels(list(w)) if w is not None else [])
 
@@ -320,10 +288,6 @@ def label_phrases(text: Column, label: Column) -> Column:
     return F.when(F.size(found) > 0, F.array_join(found, ", ")).otherwise(V.NO_LABELS)
 
 
-def text_of_figure(paragraphs: Column, captions: Column, number: Column) -> Column:
-    return F.pandas_udf(_figure_texts, "string")(paragraphs, captions, number)
-
-
 def labels_of_page(words: Column) -> Column:
     """Array of labels; NULL words give the empty array."""
     return F.pandas_udf(_page_labels, f"array<{LABEL}>")(words)

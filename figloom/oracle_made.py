@@ -51,6 +51,9 @@ SELECT i AS image_path, CASE WHEN starts_with(i, '/') THEN i WHEN '/srv/elsewher
     "page_images": f"""
 SELECT id AS page_id, CASE WHEN w * h > 0 THEN w END AS width, CASE WHEN w * h > 0 THEN h END AS height, CASE WHEN w * h > 0 THEN ((w // 2) * (h // 2))::INT END AS n_ink
 FROM (SELECT id, (greatest(bbox_x2, 0) // {SHRUNK})::INT AS w, (greatest(bbox_y2, 0) // {SHRUNK})::INT AS h FROM ({_NEWEST}) WHERE id IS NOT NULL AND bbox_x2 IS NOT NULL AND bbox_y2 IS NOT NULL)""",
+    "page_export": f"""
+SELECT id AS page_id, {_STEM.format('id')} || '_FIG_' || coalesce({_label('fig_label')}, '1') || '.png' AS name, true AS written FROM ({_NEWEST})
+WHERE id IS NOT NULL AND greatest(bbox_x2, 0) // {SHRUNK} > 0 AND greatest(bbox_y2, 0) // {SHRUNK} > 0""",
     "page_labels": f"""
 SELECT tiff_path, count(DISTINCT num) <= 1 AS kept, CASE WHEN count(DISTINCT num) = 1 THEN 'FIG. ' || min(num) END AS label
 FROM (SELECT tiff_path, {_label('fig_label')} AS num FROM figures WHERE tiff_path IS NOT NULL) GROUP BY 1""",

@@ -48,7 +48,8 @@ def figure_rows(figures: DataFrame, meta: DataFrame) -> DataFrame:
     number = X.label_number(F.col("fig_label"))
     known = figures.where(~X.is_cover_sheet(F.col("tiff_path"))).withColumn("fig_num", number).where("fig_num IS NOT NULL")
     met = known.join(meta.drop("error"), "doc_id").where(F.array_contains("figure_nums", F.col("fig_num")))
-    met = met.withColumn("fig_text", P.text_of_figure(F.col("paragraphs"), F.col("titles"), F.col("fig_num")))
+    said = F.filter("paragraphs", lambda p: F.trim(p) != "")
+    met = met.withColumn("fig_text", X.figure_text(said, X.figure_refs(said), F.filter("titles", lambda t: F.trim(t) != ""), F.col("fig_num")))
     kind = X.diagram_class(F.col("fig_text"))
     met = with_prompt(met.withColumn("claims_subset", X.claims_source(kind, F.col("method_claim"), F.col("first_claim"), F.col("claims"))))
     name = F.concat(F.col("doc_id"), F.lit("_"), stem(F.col("tiff_path")), F.lit("_"), X.file_token(F.col("fig_label")))
@@ -74,10 +75,11 @@ def load_sections(store: Store, meta: DataFrame) -> None:
     store.upsert("text_fts", metadata.text_sections(meta))
 
 
-def build(spark: SparkSession, raw: str, store: Store, out: str, ocr=None, split: DataFrame | None = None) -> DataFrame:
+def build(spark: SparkSession, raw: str, store: Store, out: str, ocr=None, split: DataFrame | None = None, words: DataFrame | None = None) -> DataFrame:
     """Bundles to dataset rows: parses each document once, reads its pages, writes sections, figures and JSON lines.
 
-    ``split``: doc_id of the documents to build; NULL builds all. Returns one row of counts.
+    ``split``: doc_id of the documents to build; NULL builds all. ``words``: what an OCR run found before, by
+    page_id (the page's path; ``pages.with_words``), instead of ``ocr``. Returns one row of counts.
     """
     files = B.extract(B.scan_bundles(spark, raw))
     if split is not None:
@@ -92,7 +94,8 @@ def build(spark: SparkSession, raw: str, store: Store, out: str, ocr=None, split
     tiffs = files.where("kind = 'tiff'").withColumn("tiff_path", path).where(~X.is_cover_sheet(F.col("tiff_path")))
     todo = tiffs.join(meta.where("size(figure_nums) > 0").select("doc_id"), "doc_id", "left_semi")
     page = todo.groupBy("tiff_path").agg(F.min_by(F.struct("doc_id", "content"), "path").alias("p")).select(F.col("tiff_path").alias("page_id"), "p.doc_id", "p.content")
-    seen = pages.labelled(pages.process_pages(page.select("page_id", "content"), ocr=ocr))
+    made = pages.process_pages(page.select("page_id", "content"), ocr=ocr)
+    seen = pages.labelled(made if words is None else pages.with_words(made, words))
     figures = seen.where("fig_label IS NOT NULL").join(page.select("page_id", "doc_id"), "page_id").join(named, "doc_id").withColumn("tiff_path", F.col("page_id")).withColumn("sha256", F.sha2("png", 256))
     rows = figure_rows(figures.select("doc_id", "tiff_path", "fig_label", "width", "height", "source_xml", "sha256"), meta)
     sinks.write_rows(rows, out)

@@ -199,6 +199,17 @@ def page_images(spark, d):
     return seen.select("page_id", "width", "height", "png").mapInArrow(run, "page_id string, width int, height int, n_ink int")
 
 
+@query
+def page_export(spark, d):
+    """Files of a page-by-page export; the words of each page come from a table."""
+    seen = pages.process_pages(_pages(spark, d), canvas=128, deskew=True)
+    newest = store.latest(table(spark, d, "figures"), ["id"], [F.col("recorded_at")])
+    number = newest.select(F.col("id").alias("page_id"), X.label_number(F.col("fig_label")).alias("num")).where("num IS NOT NULL")
+    word = lambda i, text: F.struct(F.lit(i).alias("no"), text.alias("text"), F.lit(10 + 40 * i).alias("x"), F.lit(5).alias("y"), F.lit(35).alias("w"), F.lit(12).alias("h"))
+    words = number.select("page_id", F.inline(F.array(word(0, F.lit("Fig.")), word(1, F.col("num")), word(2, F.lit(" ")), word(3, F.lit("lid")))))
+    return pages.exported(pages.with_words(seen, words)).select("page_id", "name", F.length("png").alias("n")).select("page_id", "name", (F.col("n") > 0).alias("written"))
+
+
 @query
 def page_labels(spark, d):
     """Labels found in the words of a page, two words per figure on a line of its own: which pages are kept, and their label."""

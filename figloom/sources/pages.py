@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from figloom.functions import images as I, text as X
+from figloom.functions.names import stem
 from figloom.functions.phrases import LABEL, WORD, labels_of_page
 from figloom.session import prepare
 
@@ -65,6 +66,27 @@ def single_figure(labels: Column) -> Column:
     return F.struct((n <= 1).alias("kept"), F.when(n == 1, F.concat(F.lit("FIG. "), numbers[0])).alias("label"))
 
 
+def with_words(pages: DataFrame, words: DataFrame) -> DataFrame:
+    """``pages`` with the words of a table (page_id, no, text, x, y, w, h) in place of their own, in order of ``no``.
+
+    Centres are whole pixels; blank words are dropped. A page without words gets the empty list.
+    """
+    one = F.struct("no", F.struct("text", "x", "y", "w", "h", (F.col("x") + F.col("w") / 2).cast("int").alias("cx"), (F.col("y") + F.col("h") / 2).cast("int").alias("cy")).alias("word"))
+    told = words.where("trim(text) != ''").groupBy("page_id").agg(F.transform(F.sort_array(F.collect_list(one)), lambda x: x.word).alias("_words"))
+    return pages.drop("words").join(told, "page_id", "left").withColumn("words", F.coalesce("_words", F.array().cast(f"array<{WORD}>"))).drop("_words")
+
+
+def exported(pages: DataFrame) -> DataFrame:
+    """page_id, name, png of the pages (``process_pages``) with one figure at most: the files that a page-by-page export writes.
+
+    The name is the page's without its extension and the figure's label in upper case, dots dropped and blanks as
+    ``_``; a page without a label has FIG_1. Pages of several figures and pages that can't be decoded have no file.
+    """
+    told = pages.where("png IS NOT NULL").withColumn("_f", single_figure(labels_of_page(F.col("words")))).where("_f.kept")
+    label = F.replace(F.replace(F.upper(F.coalesce("_f.label", F.lit("FIG_1"))), F.lit("."), F.lit("")), F.lit(" "), F.lit("_"))
+    return told.select("page_id", F.concat(stem(F.col("page_id")), F.lit("_"), label, F.lit(".png")).alias("name"), "png")
+
+
 def labelled(pages: DataFrame, canvas: int = 2048) -> DataFrame:
     """Pages with ``words``, ``width`` and ``height`` as figures: fig_label, bbox, original_size, resize_meta; pages of several figures are dropped."""
     box = F.array(F.lit(0), F.lit(0), F.col("width"), F.col("height"))
@@ -72,4 +94,4 @@ def labelled(pages: DataFrame, canvas: int = 2048) -> DataFrame:
     return told.select("*", F.col("_f.label").alias("fig_label"), box.alias("bbox"), box.alias("bbox_initial"), F.array("width", "height").alias("original_size"), X.letterbox(F.col("width"), F.col("height"), canvas).alias("resize_meta")).drop("_f")
 
 
-__all__ = ["LABEL", "WORD", "labelled", "process_pages", "read_images", "single_figure"]
+__all__ = ["LABEL", "WORD", "exported", "labelled", "process_pages", "read_images", "single_figure", "with_words"]

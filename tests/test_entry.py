@@ -12,7 +12,7 @@ def test_every_sql_has_a_query():
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
-@pytest.mark.parametrize("name", ["diagram_class", "canonical_fig", "keywords_topk", "figures_upsert", "integrity", "p4_found", "p1_found"])
+@pytest.mark.parametrize("name", ["diagram_class", "canonical_fig", "keywords_topk", "figures_upsert", "integrity", "p4_found", "p1_found", "p4_cascade", "p1_bundles", "relations", "context_labels", "figure_text", "prompt_row", "xml_metadata", "claims_source", "p6_claim_parts", "p6_tables", "bundle_extract", "store_deleted", "page_images", "dataset_rows"])
 def test_queries_equal_their_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()

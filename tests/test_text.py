@@ -1,8 +1,11 @@
+import random
+import re
+
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from figloom.functions import phrases as P, text as X
+from figloom.functions import phrases as P, text as X, vocabulary as V
 from figloom.functions.stem import stem
 from figloom.plans import pipeline
 
@@ -99,12 +102,54 @@ def test_bare_labels_native(spark):
 PARAGRAPHS = ["FIG. 1 is a view.", "It has a pump 10.", "FIG. 2 is another.", "FIG. 1 again."]
 
 
+def plain_figure_text(paragraphs, captions, number):
+    """The paragraphs on one figure: from the first that refers to it to the next that refers to others only, two at least.
+
+    Without a usable number or without any mention: the first two paragraphs; without paragraphs the first two captions.
+    """
+    paragraphs = [p for p in paragraphs if p and p.strip()] if paragraphs is not None else []
+    captions = [c for c in captions if c and c.strip()] if captions is not None else []
+    target = P.canonical_number(number)
+    if not paragraphs:
+        return " ".join(captions[:2])
+    if not target:
+        return " ".join(paragraphs[:2])
+    refs = [{c for c in map(P.canonical_number, re.findall(V.FIGURE, p, re.I)) if c} for p in paragraphs]
+    start = next((i for i, r in enumerate(refs) if target in r), None)
+    if start is None:
+        flat = target.replace("-", "")
+        squeezed = (re.sub(r"[ .,\-]", "", p.upper()) for p in paragraphs)
+        start = next((i for i, p in enumerate(squeezed) if "FIG" in p and flat in p), None)
+    if start is None:
+        return " ".join(paragraphs[:2])
+    end = next((i for i in range(start + 1, len(paragraphs)) if refs[i] and target not in refs[i]), len(paragraphs))
+    chosen = paragraphs[start:end]
+    if len(chosen) < 2 and start + 1 < len(paragraphs) and paragraphs[start + 1] not in chosen:
+        chosen.append(paragraphs[start + 1])
+    return " ".join(chosen)
+
+
 @pytest.mark.parametrize("paragraphs, captions, number, want", [
     (PARAGRAPHS, [], "1", " ".join(PARAGRAPHS[:2])), (PARAGRAPHS, [], "2", " ".join(PARAGRAPHS[2:])), (PARAGRAPHS, [], None, " ".join(PARAGRAPHS[:2])),
     ([], ["a", " ", "b", "c"], "1", "a b"), (None, None, "1", ""), (["x FIG11 y", "z"], [], "1", "x FIG11 y z"), (PARAGRAPHS, [], "9", " ".join(PARAGRAPHS[:2])),
 ])
-def test_figure_text(paragraphs, captions, number, want):
-    assert P.figure_text(paragraphs, captions, number) == want
+def test_figure_text(spark, paragraphs, captions, number, want):
+    assert plain_figure_text(paragraphs, captions, number) == want
+    assert native_figure_texts(spark, [(paragraphs, captions, number)]) == [want]
+
+
+def native_figure_texts(spark, rows):
+    none = F.array().cast("array<string>")
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, p array<string>, c array<string>, n string")
+    p, c = (F.filter(F.coalesce(F.col(x), none), lambda t: F.trim(t) != "") for x in "pc")
+    return [r.t for r in df.select("i", X.figure_text(p, X.figure_refs(p), c, X.figure_number(F.col("n"))).alias("t")).orderBy("i").collect()]
+
+
+def test_figure_text_natively_as_plainly(spark):
+    rnd = random.Random(5)
+    bits = ["FIG. 1 shows a pump.", "FIG. 2A is a view.", "In FIGS. 3 and 4 the rod", "FIG. 11 too", "fig-1 again", "no figure here", " ", "Figure 003", "FIG 3-1.", "FIG. 2A and FIG. 1", None]
+    rows = [([rnd.choice(bits) for _ in range(rnd.randrange(7))], [rnd.choice(bits) for _ in range(rnd.randrange(4))], rnd.choice(["1", "2A", "3", "11", "", "3-1", "x", None, "9"])) for _ in range(300)]
+    assert native_figure_texts(spark, rows) == [plain_figure_text(*r) for r in rows]
 
 
 def word(text, x, y=0):
