@@ -37,7 +37,6 @@ _OWN_LOOK = [(0x017F, 0x017F), (0x03D0, 0x03D6), (0x03F0, 0x03F9), (0x1E9B, 0x1E
 _BREAKS = "\n\r\x0b\x0c\x85\u2028\u2029"
 _LETTERS = dict(zip(_CYRILLIC + _GREEK, _CYRILLIC_AS + _GREEK_AS))
 
-_CRLF = regex.compile(r"\r\n")
 _JOINING = "".join(rf"\p{{{x}}}" for x in "Arabic Syriac Mongolian Devanagari Bengali Gurmukhi Gujarati Oriya Tamil Telugu Kannada Malayalam Sinhala Khmer".split())
 _SHOWN = regex.compile(
     "(?<=\\p{Extended_Pictographic}[\\ufe0f\U0001f3fb-\U0001f3ff]?)\\u200d(?=\\p{Extended_Pictographic})"
@@ -47,6 +46,7 @@ _SHOWN = regex.compile(
 #: Stand-ins for shown joiners while the rest are removed: noncharacters, which no exchanged text has.
 _HOLD = {"‌": "﷐", "‍": "﷑", "︎": "﷒", "️": "﷓"}
 _RELEASE = {ord(v): k for k, v in _HOLD.items()}
+_RELEASED = [chr(c) for c in _RELEASE]
 _NOT_TEXT = dict.fromkeys(_RELEASE)
 
 
@@ -82,9 +82,15 @@ def form(text: str, fold_case: bool = False) -> str:
     """The one form of all texts that look like ``text``. Applying it again changes nothing."""
     if text.isascii() and text.isprintable():
         return text.casefold() if fold_case else text
-    held = _SHOWN.sub(lambda m: _HOLD[m[0]], _CRLF.sub("\n", text.translate(_NOT_TEXT)))
+    held = text.translate(_NOT_TEXT) if any(c in text for c in _RELEASED) else text
+    held = held.replace("\r\n", "\n")
+    shown = any(c in held for c in _HOLD)
+    if shown:
+        held = _SHOWN.sub(lambda m: _HOLD[m[0]], held)
     plain = unicodedata.normalize("NFD", held.translate(_map)).translate(_letters)
-    out = unicodedata.normalize("NFC", plain).translate(_RELEASE)
+    out = unicodedata.normalize("NFC", plain)
+    if shown:
+        out = out.translate(_RELEASE)
     return unicodedata.normalize("NFC", out.casefold()) if fold_case else out
 
 
