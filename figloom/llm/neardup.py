@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from figloom.llm import meetings as M, shingles as S
-from figloom.llm.rarity import counted, fresh_texts, rarity, scan, table_bits
+from figloom.llm.rarity import counted, fresh_texts, opened, packed_table, rarity, scan, table_bits
 from figloom.shared import drop, written
 
 THRESHOLD = M.THRESHOLD
@@ -92,10 +92,10 @@ def cell_entries(rows: DataFrame, rank, pivots, bits: int, t: float = THRESHOLD)
     Entries (``meetings.ENTRY``) of each class's shingles that may meet, in each cell that the class is a member of. A
     key stands for the cell (with the space) and the shingle. A class is emitted once per task.
     """
-    hot = M.hot_from(rank.value)
+    hot = M.hot_from(opened(rank.value))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen = rank.value, set()
+        table, seen = opened(rank.value), set()
         for b in batches:
             spaces, texts = b.column(0).to_numpy(zero_copy_only=False).astype(np.int32), b.column(1).to_pylist()
             for at, part in S.chunks(texts):
@@ -175,7 +175,7 @@ def near_duplicates(rows: DataFrame, t: float = THRESHOLD) -> tuple[DataFrame, D
     spark, rows = rows.sparkSession, rows.select("space", "key", "text")
     bits = table_bits(rows)
     scanned = written(scan(rows, bits), "scan")
-    rank = spark.sparkContext.broadcast(rarity(scanned, bits).reshape(-1))
+    rank = spark.sparkContext.broadcast(packed_table(rarity(scanned, bits).reshape(-1)))
     members = scanned.where("cls IS NOT NULL").select("space", "key", "tid", "cls", "n_words")
     pivots = spark.sparkContext.broadcast(pivots_of(rows, members))
     pairs = written(M.candidates(cell_entries(rows, rank, pivots, bits, t), t), "candidates")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from figloom.llm import meetings as M, shingles as S
-from figloom.llm.rarity import STEPS, counted, fresh_texts, int64 as _int64, rarity, scan, table_bits
+from figloom.llm.rarity import STEPS, counted, fresh_texts, int64 as _int64, opened, packed_table, rarity, scan, table_bits
 from figloom.llm.suffixes import SuffixArray, merged
 from figloom.shared import drop, written
 from figloom.sources.tables import table
@@ -49,7 +49,7 @@ def sides(train: DataFrame) -> DataFrame:
 
 
 def both_sides(tables: np.ndarray) -> np.ndarray:
-    """A rank per cell from the ranks of either side: 0 where a side has none, else at least 2."""
+    """Ranks from the ranks of either side: 0 where a side has none, else at least 2."""
     total = np.rint(STEPS * np.log2(counted(tables[0]) + counted(tables[1]) + 1e-9) - STEPS) + 2
     return np.where((tables[0] > 0) & (tables[1] > 0), np.clip(total, 2, 255), 0).astype(np.uint8)
 
@@ -60,12 +60,12 @@ def meeting_suffixes(rows: DataFrame, tables: np.ndarray, bits: int, t: float =
     ``tables``: ranks by side. A record too few of whose suffixes are on both sides has no partner and sends
     none; nor does it send those that are on its own side only. Equal texts of a side are one class, once per task.
     """
-    own_tables = rows.sparkSession.sparkContext.broadcast(tables)
-    ranks = rows.sparkSession.sparkContext.broadcast(both_sides(tables))
+    packed = rows.sparkSession.sparkContext.broadcast(packed_table(tables))
     hot = max(M.hot_from(tables[0]), M.hot_from(tables[1]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        held = opened(packed.value)
         for b in batches:
             space, texts = b.column(0).to_numpy(zero_copy_only=False).astype(np.int32), b.column(1).to_pylist()
             for first, part in S.chunks(texts):
@@ -77,7 +77,7 @@ def meeting_suffixes(rows: DataFrame, tables: np.ndarray, bits: int, t: float =
                 if not len(doc):
                     continue
                 cell = (h & np.uint64((1 << bits) - 1)).astype(np.int64)
-                doc, h, r = S.ordered(doc, h, ranks.value[cell])
+                doc, h, r = S.ordered(doc, h, both_sides(held[:, cell]))
                 size = np.bincount(doc, minlength=len(part))
                 place = np.arange(len(doc)) - (np.cumsum(size) - size)[doc]
                 probe, index = M.prefixes(size, t)
@@ -86,7 +86,7 @@ def meeting_suffixes(rows: DataFrame, tables: np.ndarray, bits: int, t: float =
                 if not len(e):
                     continue
                 cell = (h[e] & np.uint64((1 << bits) - 1)).astype(np.int64)
-                n = counted(own_tables.value[:, cell])
+                n = counted(held[:, cell])
                 mine = side[doc[e]]
                 i, key, group = M.split_hot(h[e], cls[doc[e]], np.where(mine == TRAIN, n[0], n[1]), mine, np.where(mine == TRAIN, n[1], n[0]), hot)
                 e = e[i]

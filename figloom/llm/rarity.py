@@ -131,3 +131,20 @@ def rarity(scanned: DataFrame, bits: int, n_sides: int = 1) -> np.ndarray:
 def counted(rank: np.ndarray) -> np.ndarray:
     """About the counts that ``rank`` stands for."""
     return np.where(rank < 2, rank, 2.0 ** ((rank.astype(np.float64) - 2) / STEPS + 1))
+
+
+def packed_table(table: np.ndarray) -> tuple[tuple[int, ...], bytes]:
+    """A table as it is broadcast: every executor keeps a broadcast value as a file, and most cells are 0."""
+    return table.shape, zlib.compress(table.tobytes(), 1)
+
+
+_open: dict[int, np.ndarray] = {}
+
+
+def opened(packed: tuple[tuple[int, ...], bytes]) -> np.ndarray:
+    """The table; one is held open per process."""
+    shape, data = packed
+    if (key := hash(data)) not in _open:
+        _open.clear()
+        _open[key] = np.frombuffer(zlib.decompress(data), np.uint8).reshape(shape)
+    return _open[key]
