@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from figloom.functions import vocabulary as V
 
@@ -134,21 +134,27 @@ def figure_refs(texts: Column) -> Column:
     return F.transform(texts, lambda t: F.filter(F.transform(F.regexp_extract_all(t, F.lit("(?i)" + V.FIGURE), 1), figure_number), lambda x: x != ""))
 
 
-def figure_text(paragraphs: Column, refs: Column, captions: Column, number: Column) -> Column:
-    """The paragraphs on one figure: from the first that refers to it to the next that refers to others only, two at least.
-
-    ``refs``: ``figure_refs`` of the paragraphs. Neither list has blank items. Without any mention: the first two
-    paragraphs; without paragraphs the first two captions.
-    """
-    squeezed = F.transform(paragraphs, lambda p: F.regexp_replace(F.upper(p), r"[ .,\-]", ""))
+def figure_start(paragraphs: Column, refs: Column, number: Column) -> Column:
+    """The place (from 1) of the first paragraph on the figure: that refers to it, else that spells FIG and the number somewhere; NULL if there is none."""
     flat = F.replace(number, F.lit("-"), F.lit(""))
+    squeezed = F.transform(paragraphs, lambda p: F.regexp_replace(F.upper(p), r"[ .,\-]", ""))
     named = F.array_position(F.transform(refs, lambda r: F.array_contains(r, number)), F.lit(True))
     spelled = F.array_position(F.transform(squeezed, lambda p: p.contains("FIG") & p.contains(flat)), F.lit(True))
-    start = F.when(named > 0, named).otherwise(spelled).cast("int")
-    other = F.transform(refs, lambda r, i: (i >= start) & (F.size(r) > 0) & ~F.array_contains(r, number))
-    stop = F.array_position(other, F.lit(True))
-    n = F.when(stop > 0, stop - start).otherwise(F.size(paragraphs) - start + 1).cast("int")
-    two = (n == 1) & (start < F.size(paragraphs)) & (F.get(paragraphs, start) != F.get(paragraphs, start - 1))
-    chosen = F.slice(paragraphs, start, F.when(two, F.lit(2)).otherwise(n))
+    return F.when(F.length(number) > 0, F.coalesce(F.nullif(named, F.lit(0)), F.nullif(spelled, F.lit(0)))).cast("int")
+
+
+def with_figure_text(df: DataFrame, paragraphs: str, refs: str, captions: str, number: str, out: str = "fig_text") -> DataFrame:
+    """Adds the paragraphs on one figure: from the first that refers to it to the next that refers to others only, two at least.
+
+    ``refs``: ``figure_refs`` of the paragraphs. Neither list is NULL or has blank items. Without any mention: the first two
+    paragraphs; without paragraphs the first two captions. In steps, so that no place is looked for again per paragraph.
+    """
+    p, r, start = F.col(paragraphs), F.col(refs), F.col("_start")
+    other = F.transform(r, lambda x, i: (i >= start) & (F.size(x) > 0) & ~F.array_contains(x, F.col(number)))
+    stop = F.nullif(F.array_position(other, F.lit(True)), F.lit(0)).cast("int")
+    staged = df.withColumn("_start", figure_start(p, r, F.col(number))).withColumn("_n", F.coalesce(stop, F.size(p) + 1) - start)
+    two = (F.col("_n") == 1) & (start < F.size(p)) & (F.get(p, start) != F.get(p, start - 1))
+    chosen = F.slice(p, start, F.when(two, F.lit(2)).otherwise(F.col("_n")))
     first_two = lambda x: F.array_join(F.slice(x, 1, 2), " ")
-    return F.when(F.size(paragraphs) == 0, first_two(captions)).when((start > 0) & (F.length(number) > 0), F.array_join(chosen, " ")).otherwise(first_two(paragraphs))
+    text = F.when(F.size(p) == 0, first_two(F.col(captions))).when(start > 0, F.array_join(chosen, " ")).otherwise(first_two(p))
+    return staged.withColumn(out, text).drop("_start", "_n")

@@ -48,8 +48,8 @@ def figure_rows(figures: DataFrame, meta: DataFrame) -> DataFrame:
     number = X.label_number(F.col("fig_label"))
     known = figures.where(~X.is_cover_sheet(F.col("tiff_path"))).withColumn("fig_num", number).where("fig_num IS NOT NULL")
     met = known.join(meta.drop("error"), "doc_id").where(F.array_contains("figure_nums", F.col("fig_num")))
-    said = F.filter("paragraphs", lambda p: F.trim(p) != "")
-    met = met.withColumn("fig_text", X.figure_text(said, X.figure_refs(said), F.filter("titles", lambda t: F.trim(t) != ""), F.col("fig_num")))
+    met = met.withColumns({f"_{c}": F.filter(c, lambda x: F.trim(x) != "") for c in ("paragraphs", "titles")}).withColumn("_refs", X.figure_refs(F.col("_paragraphs")))
+    met = X.with_figure_text(met, "_paragraphs", "_refs", "_titles", "fig_num").drop("_paragraphs", "_titles", "_refs")
     kind = X.diagram_class(F.col("fig_text"))
     met = with_prompt(met.withColumn("claims_subset", X.claims_source(kind, F.col("method_claim"), F.col("first_claim"), F.col("claims"))))
     name = F.concat(F.col("doc_id"), F.lit("_"), stem(F.col("tiff_path")), F.lit("_"), X.file_token(F.col("fig_label")))

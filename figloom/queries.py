@@ -136,8 +136,8 @@ def _figure_texts(spark, d, figures, *more):
     none = F.array().cast("array<string>")
     asked = figures.where("doc_key IS NOT NULL").groupBy("doc_key").agg(F.collect_set(F.struct("fig_num", *more)).alias("asked"))
     met = asked.join(_document_lines(spark, d), "doc_key", "left").select("doc_key", "paragraph", "refs", "caption", "claims", F.inline("asked"))
-    chosen = X.figure_text(F.coalesce("paragraph", none), F.coalesce("refs", F.array().cast("array<array<string>>")), F.coalesce("caption", none), F.col("fig_num"))
-    return met.select("doc_key", "fig_num", *more, chosen.alias("fig_text"), "claims")
+    whole = met.select("doc_key", "fig_num", *more, "claims", *[F.coalesce(c, none).alias(c) for c in ("paragraph", "caption")], F.coalesce("refs", F.array().cast("array<array<string>>")).alias("refs"))
+    return X.with_figure_text(whole, "paragraph", "refs", "caption", "fig_num").select("doc_key", "fig_num", *more, "fig_text", "claims")
 
 
 @query

@@ -141,8 +141,8 @@ def test_figure_text(spark, paragraphs, captions, number, want):
 def native_figure_texts(spark, rows):
     none = F.array().cast("array<string>")
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, p array<string>, c array<string>, n string")
-    p, c = (F.filter(F.coalesce(F.col(x), none), lambda t: F.trim(t) != "") for x in "pc")
-    return [r.t for r in df.select("i", X.figure_text(p, X.figure_refs(p), c, X.figure_number(F.col("n"))).alias("t")).orderBy("i").collect()]
+    df = df.select("i", *[F.filter(F.coalesce(F.col(x), none), lambda t: F.trim(t) != "").alias(x) for x in "pc"], X.figure_number(F.col("n")).alias("n")).withColumn("r", X.figure_refs(F.col("p")))
+    return [r.t for r in X.with_figure_text(df, "p", "r", "c", "n", "t").orderBy("i").collect()]
 
 
 def test_figure_text_natively_as_plainly(spark):
